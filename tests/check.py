@@ -1,0 +1,40 @@
+"""Compare every query with its SQL: python tests/check.py [sf_dir] [name part ...]"""
+
+import sys
+import time
+
+sys.path.insert(0, __file__.rsplit("/", 2)[0])
+
+import __spark_entry__ as spark_entry
+from tests.compare import connect, oracle_rows, spark_rows
+from tidemark.session import local_session
+
+sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
+wanted = sys.argv[2:]
+spark = local_session(8)
+con = connect(sf_dir)
+sql = spark_entry.oracle_sql()
+bad = 0
+for name, run in spark_entry.queries().items():
+    if wanted and not any(part in name for part in wanted):
+        continue
+    start = time.time()
+    try:
+        names, rows = spark_rows(run(spark, sf_dir)) if name in sql else (None, None)
+        if names is None:
+            count = run(spark, sf_dir).count()
+            print(f"ROWS {name} {count} {time.time() - start:.1f}s", flush=True)
+            continue
+        took = time.time() - start
+        expected_names, expected = oracle_rows(con, sql[name])
+        ok = names == expected_names and rows == expected
+        bad += not ok
+        print(f"{'OK  ' if ok else 'BAD '} {name} {sum(rows.values())} {took:.1f}s", flush=True)
+        if not ok:
+            print("  columns", names, expected_names)
+            print("  spark only", sum((rows - expected).values()), list((rows - expected))[:3])
+            print("  sql only", sum((expected - rows).values()), list((expected - rows))[:3])
+    except Exception as error:
+        bad += 1
+        print(f"FAIL {name}: {str(error)[:1500]}", flush=True)
+print("bad:", bad)
