@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions import text
+from tidemark.sources import scratch
 
 
 def with_sentences(reviews: DataFrame, body: str = "review_body") -> DataFrame:
@@ -16,7 +17,8 @@ def with_sentences(reviews: DataFrame, body: str = "review_body") -> DataFrame:
 
 
 def at_least_sentences(reviews: DataFrame, least: int, body: str = "review_body") -> DataFrame:
-    return with_sentences(reviews, body).filter(F.col("num_sentences") >= least)
+    """Reviews of at least so many sentences, which are split only in those that stay."""
+    return with_sentences(reviews.filter(text.has_sentences(F.col(body), least)), body)
 
 
 def _limit(threshold: float | DataFrame) -> Column:
@@ -36,18 +38,20 @@ def active_reviews(
     """Reviews with enough sentences, by customers with more than ``customer_above`` such
     reviews, on products with more than ``product_above`` of what is then left.
 
-    Both cuts depend only on how many reviews each (customer, product) pair has. They are
-    made on those pair counts, where a busy customer or product has already shrunk; review
-    texts meet the outcome in one semi-join on the pair. None of the joins carries a
-    hint: Catalyst broadcasts a key side it measures as small, and otherwise the adaptive
-    skew join splits the left side of a hot key.
+    Both cuts depend only on how many reviews each (customer, product) pair has. Those
+    counts are written once as a narrow table, in which a busy customer or product has
+    already shrunk; without it Catalyst would move the first semi-join below the count and
+    read all texts again for each cut. Texts meet the outcome in one semi-join on the pair.
+    None of the joins carries a hint: Spark broadcasts a key side whose size it has
+    measured to be small, and otherwise the adaptive skew join splits hot keys.
     """
-    long_enough = at_least_sentences(reviews, least_sentences, body)
+    long_enough = reviews.filter(text.has_sentences(F.col(body), least_sentences))
     pairs = (
         long_enough.filter(F.col(customer).isNotNull() & F.col(product).isNotNull())
         .groupBy(customer, product)
         .agg(F.count("*").alias("n"))
     )
+    pairs = scratch.written(pairs, "pair-counts")
 
     def above(df: DataFrame, key: str, threshold: float | DataFrame) -> DataFrame:
         sizes = df.groupBy(key).agg(F.sum("n").alias("total"))
@@ -55,4 +59,5 @@ def active_reviews(
 
     pairs = pairs.join(above(pairs, customer, customer_above), customer, "left_semi")
     pairs = pairs.join(above(pairs, product, product_above), product, "left_semi")
-    return long_enough.join(pairs, [customer, product], "left_semi")
+    kept = long_enough.join(pairs, [customer, product], "left_semi")
+    return with_sentences(kept, body)

@@ -251,14 +251,19 @@ ORACLE["q33_inverted_list"] = f"""
            string_agg(owner || '=' || n || ',', '' ORDER BY n DESC, owner) AS owners
     FROM counts JOIN sizes USING (tag) GROUP BY 1, 2"""
 
-ORACLE["q34_line_fields"] = """
+WHITE_SPACE = " || ".join(
+    f"chr({code})"
+    for code in [*range(9, 14), *range(28, 33), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B)]
+    + [0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
+)
+ORACLE["q34_line_fields"] = f"""
     WITH lines AS (
         SELECT doc_id, cast(i - 1 AS int) AS line_no, line[i] AS value
         FROM (SELECT doc_id, line, unnest(generate_series(1, len(line))) AS i
               FROM (SELECT doc_id, string_split(text, chr(10)) AS line FROM documents))),
     parsed AS (
         SELECT doc_id, line_no, string_split(
-            rtrim(regexp_replace(value, '^\\s+|\\s+$', '', 'g'), ','), ',') AS fields
+            rtrim(trim(value, {WHITE_SPACE}), ','), ',') AS fields
         FROM lines)
     SELECT doc_id, line_no, fields[1] AS video_id, fields[4] AS category,
            fields[12] AS country

@@ -152,8 +152,7 @@ def q18_tokens(spark, sf_dir):
 
 
 def _hashed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    every = sentences.explode_sentences(t.classed_reviews(spark, sf_dir))
-    return embed.hashed_vectors(every, t.VECTOR_SIZE)
+    return embed.hashed_vectors(t.classed_sentences(spark, sf_dir), t.VECTOR_SIZE)
 
 
 def _written_hashed(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -323,7 +322,7 @@ def q38_dates(spark, sf_dir):
 
 @query
 def q39_encoded_vectors(spark, sf_dir):
-    every = sentences.explode_sentences(t.classed_reviews(spark, sf_dir))
+    every = t.classed_sentences(spark, sf_dir)
     size = t.VECTOR_SIZE
     return embed.long_form(embed.encoded_vectors(every, lambda: load_hash_encoder(size)))
 

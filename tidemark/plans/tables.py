@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators import cascade, profile, sentences
-from tidemark.sources import readers
+from tidemark.sources import readers, scratch
 
 PRODUCT = "en"
 VECTOR_SIZE = 64
@@ -55,6 +55,10 @@ def classed_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentences.with_sentiment(own.join(stars, "review_id"))
 
 
+def classed_sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scratch.spread(sentences.explode_sentences(classed_reviews(spark, sf_dir)))
+
+
 def tokenised(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentences.tokenised(sentences.trimmed_sentences(classed_reviews(spark, sf_dir)))
 
