@@ -29,8 +29,9 @@ def inverted_list(photos: DataFrame, owners_per_row: int = 10_000) -> DataFrame:
     counts = tag_owners(photos)
     long_lists = (
         counts.groupBy("tag")
-        .agg(F.count("*").alias("owners"))
-        .filter(F.col("owners") > owners_per_row)
+        # uses are never fewer than owners; with them both sides read the same shuffle
+        .agg(F.count("*").alias("owners"), F.sum("n").alias("uses"))
+        .filter((F.col("owners") > owners_per_row) & (F.col("uses") > owners_per_row))
         .select("tag", F.ceil(F.col("owners") / owners_per_row).alias("segments"))
     )
     entry = F.struct((-F.col("n")).alias("order"), F.col("owner"))

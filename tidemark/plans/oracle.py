@@ -296,3 +296,11 @@ ORACLE["q38_dates"] = """
            strftime(try_strptime(date_text, '%d.%m.%y'), '%Y-%m-%d') AS parsed,
            strftime(try_strptime(date_text, '%d.%m.%y'), '%d.%m.%y') AS formatted
     FROM texts"""
+ORACLE["q42_video_file"] = f"""
+    SELECT video_id::varchar AS video_id, country::varchar AS country,
+           strftime(trending_date, '%Y-%m-%d') AS trending_date, category, likes, dislikes
+    FROM ({SIGHTINGS} WHERE l_linestatus <> 'O')"""
+ORACLE["q43_movie_file"] = f"""
+    SELECT movie_id::varchar AS movie_id, genre
+    FROM ({GENRES} WHERE p_type NOT IN ('ECONOMY', 'SMALL'))"""
+ORACLE["q44_photo_file"] = TAGS

@@ -155,9 +155,8 @@ def _hashed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embed.hashed_vectors(t.classed_sentences(spark, sf_dir), t.VECTOR_SIZE)
 
 
-def _written_hashed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    vectors = _hashed(spark, sf_dir).select("sentiment", "review_id", "pos", "vector")
-    return scratch.written(vectors, "hashed-vectors")
+def _hashed_units(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scratch.written(centres.unit_vectors(_hashed(spark, sf_dir)), "hashed-units")
 
 
 @query
@@ -167,24 +166,24 @@ def q19_hashed_vectors(spark, sf_dir):
 
 @query
 def q20_mean_distances(spark, sf_dir):
-    vectors = _written_hashed(spark, sf_dir)
-    return centres.mean_distances(vectors, groups=sentences.SENTIMENTS)
+    units = _hashed_units(spark, sf_dir)
+    return centres.mean_distances(units, groups=sentences.SENTIMENTS)
 
 
 @query
 def q21_class_centres(spark, sf_dir):
-    vectors = _written_hashed(spark, sf_dir)
-    return centres.centres(vectors, groups=sentences.SENTIMENTS)
+    units = _hashed_units(spark, sf_dir)
+    return centres.centres(units, groups=sentences.SENTIMENTS)
 
 
 @query
 def q22_nearest_sentences(spark, sf_dir):
-    vectors = _written_hashed(spark, sf_dir)
-    return centres.nearest_to_centres(vectors, groups=sentences.SENTIMENTS)
+    units = _hashed_units(spark, sf_dir)
+    return centres.nearest_to_centres(units, groups=sentences.SENTIMENTS)
 
 
 def _word2vec(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tokenised = scratch.written(t.tokenised(spark, sf_dir), "tokens")
+    tokenised = scratch.written(scratch.spread(t.tokenised(spark, sf_dir)), "tokens")
     return embed.word2vec_vectors(tokenised, sentences.SENTIMENTS)
 
 
@@ -195,9 +194,9 @@ def q23_word2vec_vectors(spark, sf_dir):
 
 @query
 def q24_word2vec_nearest(spark, sf_dir):
-    vectors = _word2vec(spark, sf_dir).select("sentiment", "review_id", "pos", "vector")
-    vectors = scratch.written(vectors, "word2vec-vectors")
-    return centres.nearest_to_centres(vectors, groups=sentences.SENTIMENTS)
+    units = centres.unit_vectors(_word2vec(spark, sf_dir))
+    units = scratch.written(units, "word2vec-units")
+    return centres.nearest_to_centres(units, groups=sentences.SENTIMENTS)
 
 
 # Trending videos
@@ -329,9 +328,38 @@ def q39_encoded_vectors(spark, sf_dir):
 
 @query
 def q40_label_centres(spark, sf_dir):
-    return centres.centres(t.labelled_vectors(spark, sf_dir), "label")
+    units = centres.unit_vectors(t.labelled_vectors(spark, sf_dir), "label")
+    return centres.centres(units, "label")
 
 
 @query
 def q41_label_nearest(spark, sf_dir):
-    return centres.nearest_to_centres(t.labelled_vectors(spark, sf_dir), "label")
+    units = centres.unit_vectors(t.labelled_vectors(spark, sf_dir), "label")
+    return centres.nearest_to_centres(units, "label")
+
+
+# Files of the original layouts, written from the tables and read again
+
+
+@query
+def q42_video_file(spark, sf_dir):
+    """A video file with header lines; lines of open items end before the country."""
+    path = scratch.scratch_path(spark, "videos")
+    t.video_table(spark, sf_dir).write.option("header", True).csv(path)
+    seen = trending.sightings(readers.read_videos(spark, path))
+    return seen.withColumn("trending_date", F.date_format("trending_date", "yyyy-MM-dd"))
+
+
+@query
+def q43_movie_file(spark, sf_dir):
+    """A movie file with quoted commas and quotes, and lines of too many or few fields."""
+    path = scratch.scratch_path(spark, "movies")
+    t.movie_lines(spark, sf_dir).write.text(path)
+    return ratings.movie_genres(readers.read_movies(spark, path))
+
+
+@query
+def q44_photo_file(spark, sf_dir):
+    path = scratch.scratch_path(spark, "photos")
+    t.photo_lines(spark, sf_dir).write.text(path)
+    return tags.tag_owners(readers.read_photos(spark, path))

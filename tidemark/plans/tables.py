@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.functions import dates
 from tidemark.operators import cascade, profile, sentences
 from tidemark.sources import readers, scratch
 
@@ -140,6 +141,55 @@ def photos(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def video_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line items in the twelve columns of a video file."""
+    date = F.col("l_shipdate")
+    columns = {
+        "video_id": F.col("l_partkey"),
+        "trending_date": dates.format_date(date),
+        "category_id": F.col("l_linenumber"),
+        "category": F.col("l_returnflag"),
+        "publish_time": F.date_format(date, "yyyy-MM-dd HH:mm:ss"),
+        "views": F.col("l_orderkey"),
+        "likes": F.col("l_quantity").cast("bigint"),
+        "dislikes": F.col("l_extendedprice").cast("bigint"),
+        "comment_count": F.col("l_linenumber"),
+        "ratings_disabled": F.lit(False),
+        "video_error_or_removed": F.lit(False),
+        "country": F.when(F.col("l_linestatus") != "O", F.col("l_suppkey")),
+    }
+    return table(spark, sf_dir, "lineitem").select(
+        *[columns[name].alias(name) for name in readers.VIDEO_FIELDS]
+    )
+
+
+def movie_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parts as movie lines; economy parts have a field too many, small ones one too few."""
+    title = F.concat(F.lit('"'), F.col("p_name"), F.lit(', ""the"" '), "p_type", F.lit('"'))
+    genres = F.replace(F.col("p_name"), F.lit(" "), F.lit("|"))
+    line = (
+        F.when(F.col("p_type") == "ECONOMY", F.concat_ws(",", "p_partkey", title, genres, genres))
+        .when(F.col("p_type") == "SMALL", F.concat_ws(",", "p_partkey", title))
+        .otherwise(F.concat_ws(",", "p_partkey", title, genres))
+    )
+    return table(spark, sf_dir, "part").select(line.alias("value"))
+
+
+def photo_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parts as photo lines: id, owner, tags, date, place, accuracy."""
+    return table(spark, sf_dir, "part").select(
+        F.concat_ws(
+            "\t",
+            F.col("p_partkey").cast("string"),
+            "p_brand",
+            "p_name",
+            F.lit("2007-11-19 17:49:49"),
+            "p_type",
+            F.col("p_size").cast("string"),
+        ).alias("value")
+    )
+
+
 def text_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every physical line of every document."""
     return table(spark, sf_dir, "documents").select(

@@ -21,8 +21,10 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A path in the shared folder that no other run uses."""
-    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    """A path in the shared folder that no other run uses, under the application's name
+    so that all it left can be removed at once."""
+    run = spark.conf.get("spark.app.id", "session")
+    return f"{shared_folder(spark)}/{run}/{name}-{uuid.uuid4().hex}"
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
