@@ -1,0 +1,102 @@
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from tidemark.functions.hash_encoder import load_hash_encoder
+from tidemark.operators import embed, sentences
+
+SCHEMA = "sentiment string, review_id int, pos int, sentence string"
+
+
+@pytest.fixture(scope="module")
+def rows():
+    rng = np.random.default_rng(1)
+    words = ["sun", "rain", "good", "bad", "song", "drum", "voice", "tape"]
+    return [
+        ("positive" if i % 3 else "negative", i, 0, " ".join(rng.choice(words, 4)))
+        for i in range(60)
+    ] + [("positive", 100, 0, "good song"), ("positive", 101, 0, "good song")]
+
+
+@pytest.fixture(scope="module")
+def df(spark, rows):
+    return spark.createDataFrame(rows, SCHEMA)
+
+
+def test_loaded_encoder_equals_hashed_columns(df):
+    key = ["sentiment", "review_id", "pos", "sentence"]
+    hashed = embed.hashed_vectors(df, 32).select(*key, "vector").collect()
+    loaded = embed.encoded_vectors(df, lambda: load_hash_encoder(32), partitions=3)
+    assert sorted(hashed) == sorted(loaded.select(*key, "vector").collect())
+
+
+def test_encoder_is_loaded_once_per_task(spark, df):
+    loads = spark.sparkContext.accumulator(0)
+
+    def load():
+        loads.add(1)
+        return lambda texts: np.ones((len(texts), 2))
+
+    assert embed.encoded_vectors(df, load, partitions=4).select("vector").distinct().count() == 1
+    assert loads.value == 4
+
+
+def tokenised(df):
+    return sentences.tokenised(df)
+
+
+def test_word2vec_vectors(df):
+    found = embed.word2vec_vectors(tokenised(df), sentences.SENTIMENTS, vector_size=20)
+    assert found.columns == ["sentiment", "review_id", "pos", "sentence", "vector"]
+    rows = found.collect()
+    assert len(rows) == 62
+    assert {len(r.vector) for r in rows} == {20}
+    vectors = {r.review_id: r.vector for r in rows}
+    assert vectors[100] == vectors[101]
+    again = embed.word2vec_vectors(tokenised(df), sentences.SENTIMENTS, vector_size=20)
+    assert {r.review_id: r.vector for r in again.collect()} == vectors
+
+
+def test_sentence_vector_is_the_mean_of_its_words(spark):
+    rows = [("a", i, 0, s) for i, s in enumerate(["x x", "y y", "x y", "x x y y", "x x x y"])]
+    df = spark.createDataFrame(rows, SCHEMA)
+    found = embed.word2vec_vectors(tokenised(df), ["a"], vector_size=6)
+    v = {r.sentence: np.array(r.vector) for r in found.collect()}
+    assert v["x y"] == pytest.approx((v["x x"] + v["y y"]) / 2, abs=1e-6)
+    assert v["x x x y"] == pytest.approx((3 * v["x x"] + v["y y"]) / 4, abs=1e-6)
+
+
+def test_large_vocabulary_is_bucketed(spark):
+    rows = [("a", i, 0, f"w{i} w{i + 1} w{i + 2}") for i in range(100)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    found = embed.word2vec_vectors(
+        tokenised(df), ["a"], vector_size=5, max_words=7, words_per_partition=100
+    ).collect()
+    assert len(found) == 100
+    assert all(np.linalg.norm(r.vector) > 0 for r in found)
+
+
+def test_class_without_sentences(df):
+    only = tokenised(df).filter(F.col("sentiment") == "positive")
+    found = embed.word2vec_vectors(only, sentences.SENTIMENTS, vector_size=4)
+    assert {r.sentiment for r in found.collect()} == {"positive"}
+    nothing = embed.word2vec_vectors(only.limit(0), sentences.SENTIMENTS, vector_size=4)
+    assert nothing.columns == found.columns and nothing.count() == 0
+
+
+def test_sentiment_and_sentences(spark):
+    rows = [(1, "5"), (2, "3"), (3, "1"), (4, "junk"), (5, None), (6, "4")]
+    df = spark.createDataFrame(rows, "review_id int, star_rating string").withColumn(
+        "review_body", F.array(F.lit(" a b "), F.lit(" "), F.lit("  "), F.lit("one"))
+    )
+    classed = sentences.with_sentiment(df)
+    assert {r.review_id: r.sentiment for r in classed.collect()} == {
+        1: "positive", 3: "negative", 6: "positive",
+    }
+    assert sentences.explode_sentences(classed).count() == 12
+    own = sentences.trimmed_sentences(classed).filter("review_id = 1")
+    assert [(r.pos, r.sentence) for r in own.orderBy("pos").collect()] == [
+        (0, "a b"), (2, ""), (3, "one"),
+    ]
+    assert [r.tokens for r in sentences.tokenised(own).collect()] == [["a", "b"]]
+    assert sentences.reviews_of(df.withColumn("product_id", F.lit("x")), "x").count() == 6

@@ -47,7 +47,7 @@ def active_reviews(
     """
     long_enough = reviews.filter(text.has_sentences(F.col(body), least_sentences))
     pairs = (
-        long_enough.filter(F.col(customer).isNotNull() & F.col(product).isNotNull())
+        long_enough.filter(F.col(customer).isNotNull())
         .groupBy(customer, product)
         .agg(F.count("*").alias("n"))
     )

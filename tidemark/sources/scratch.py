@@ -9,15 +9,16 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder the session names in ``spark.checkpoint.dir``; a new one in local mode."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder.rstrip("/")
-    if spark.conf.get("spark.master", "").startswith("local"):
-        folder = tempfile.mkdtemp(prefix="tidemark-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-        return folder
-    raise ValueError("set spark.checkpoint.dir to a folder all executors share")
+    """The folder the session names in ``spark.checkpoint.dir`` or has been given as its
+    checkpoint folder. Only a local session that has neither is given a temporary one."""
+    context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if not folder and context.master.startswith("local"):
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="tidemark-"))
+        folder = context.getCheckpointDir()
+    if not folder:
+        raise ValueError("set spark.checkpoint.dir to a folder all executors share")
+    return folder.rstrip("/")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
