@@ -85,27 +85,66 @@ def test_sentences_and_their_number(spark):
     assert ids(cascade.at_least_sentences(df, 0)) == [1, 2, 3, 4, 5]
 
 
-def test_hot_keys_are_split(spark, reviews, rows, conf, executed):
-    """Without broadcasts, adaptive execution splits the pair that holds many rows."""
+@pytest.fixture
+def no_broadcast(conf):
+    """Joins shuffle, and the skew join looks at the small partitions of a test."""
     conf("spark.sql.autoBroadcastJoinThreshold", "-1")
     conf("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
     conf("spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes", "2000")
     conf("spark.sql.adaptive.skewJoin.skewedPartitionFactor", "1.5")
     conf("spark.sql.adaptive.advisoryPartitionSizeInBytes", "1000")
     conf("spark.sql.adaptive.coalescePartitions.enabled", "false")
-    hot = spark.range(20_000, numPartitions=8).select(
+    conf("spark.sql.files.maxPartitionBytes", "20000")
+    conf("spark.sql.files.openCostInBytes", "0")
+
+
+def split_joins(plan):
+    """The keys of the joins in which adaptive execution split a hot key."""
+    lines = [line for line in plan.split("\n") if "SortMergeJoin(skew=true)" in line]
+    return [re.findall(r"(\w+)#", line.split("[", 1)[1].split("]")[0]) for line in lines]
+
+
+def many_reviews(spark, customer, product):
+    return spark.range(20_000, numPartitions=8).select(
         F.col("id").cast("int").alias("review_id"),
-        F.when(F.col("id") % 3 == 0, "hot")
-        .otherwise(F.concat(F.lit("c"), F.col("id") % 500)).alias("customer_id"),
-        F.when(F.col("id") % 3 == 0, "best")
-        .otherwise(F.concat(F.lit("p"), F.col("id") % 70)).alias("product_id"),
+        F.expr(customer).alias("customer_id"),
+        F.expr(product).alias("product_id"),
         F.lit("one. two").alias("review_body"),
     )
-    found = cascade.active_reviews(hot, 2, 5, 5)
-    assert "skew=true" in executed(found)
+
+
+def test_hot_pair_is_split(spark, no_broadcast, executed):
+    """A third of all reviews by one customer on one product."""
+    reviews = many_reviews(
+        spark,
+        "if(id % 3 = 0, 'hot', concat('c', id % 500))",
+        "if(id % 3 = 0, 'best', concat('p', id % 70))",
+    )
+    found = cascade.active_reviews(reviews, 2, 5, 5)
+    assert ["customer_id", "product_id"] in split_joins(executed(found))
+    assert found.count() == 20_000
+
+
+def test_hot_customer_with_many_products_is_split(spark, no_broadcast, executed):
+    reviews = many_reviews(
+        spark, "if(id % 3 = 0, 'hot', concat('c', id % 500))", "concat('p', id % 7000)"
+    )
+    found = cascade.active_reviews(reviews, 2, 5, 1)
+    assert ["customer_id"] in split_joins(executed(found))
     assert found.count() == 20_000
-    found = cascade.active_reviews(reviews, 3, 1, 2)
-    assert ids(found) == brute_force(rows, 3, 1, 2)
+
+
+def test_hot_product_with_many_customers_is_split(spark, no_broadcast, executed):
+    reviews = many_reviews(
+        spark, "concat('c', id % 7000)", "if(id % 3 = 0, 'best', concat('p', id % 500))"
+    )
+    found = cascade.active_reviews(reviews, 2, 1, 5)
+    assert ["product_id"] in split_joins(executed(found))
+    assert found.count() == 20_000
+
+
+def test_shuffled_joins_give_the_same(reviews, rows, no_broadcast):
+    assert ids(cascade.active_reviews(reviews, 3, 1, 2)) == brute_force(rows, 3, 1, 2)
 
 
 def test_texts_are_read_twice_and_only_for_the_pairs_and_the_outcome(spark, sf_dir, executed):

@@ -165,5 +165,5 @@ def test_spread_only_small_tables(spark, tmp_path):
     spark.range(100, numPartitions=cores * 2).write.parquet(str(tmp_path / "many"))
     one = spark.read.parquet(str(tmp_path / "one"))
     many = spark.read.parquet(str(tmp_path / "many"))
-    assert scratch.spread(one).rdd.getNumPartitions() == cores
-    assert "Repartition" not in scratch.spread(many)._jdf.queryExecution().toString()
+    assert scratch.spread(one, one).rdd.getNumPartitions() == cores
+    assert "Repartition" not in scratch.spread(many, many)._jdf.queryExecution().toString()

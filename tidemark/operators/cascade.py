@@ -41,9 +41,10 @@ def active_reviews(
     Both cuts depend only on how many reviews each (customer, product) pair has. Those
     counts are written once as a narrow table, in which a busy customer or product has
     already shrunk; without it Catalyst would move the first semi-join below the count and
-    read all texts again for each cut. Texts meet the outcome in one semi-join on the pair.
-    None of the joins carries a hint: Spark broadcasts a key side whose size it has
-    measured to be small, and otherwise the adaptive skew join splits hot keys.
+    read all texts again for each cut. The kept keys are written too, so that Spark knows
+    their size: it broadcasts small ones, and otherwise shuffles both sides, which is what
+    the adaptive skew join needs to split a hot key. Texts meet the outcome in one
+    semi-join on the pair.
     """
     long_enough = reviews.filter(text.has_sentences(F.col(body), least_sentences))
     pairs = (
@@ -55,7 +56,8 @@ def active_reviews(
 
     def above(df: DataFrame, key: str, threshold: float | DataFrame) -> DataFrame:
         sizes = df.groupBy(key).agg(F.sum("n").alias("total"))
-        return sizes.filter(F.col("total") > _limit(threshold)).select(key)
+        kept = sizes.filter(F.col("total") > _limit(threshold)).select(key)
+        return scratch.written(kept, f"kept-{key}")
 
     pairs = pairs.join(above(pairs, customer, customer_above), customer, "left_semi")
     pairs = pairs.join(above(pairs, product, product_above), product, "left_semi")

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import text
 
+SALTS = 64
+
 
 def tag_owners(photos: DataFrame) -> DataFrame:
     """How often each owner uses each ASCII tag."""
@@ -24,19 +26,27 @@ def inverted_list(photos: DataFrame, owners_per_row: int = 10_000) -> DataFrame:
 
     A tag with up to ``owners_per_row`` owners is one row, segment 0. A tag with more is
     spread over as many segments as it needs by a hash of the owner; every owner is in
-    exactly one of them, and no task has to hold the whole list.
+    exactly one of them, and no task has to hold the whole list. The number of segments
+    reaches the owners of a tag by a join that is salted with the owner: the few long tags
+    are repeated once per salt, at most one row for ``owners_per_row / SALTS`` owners.
     """
-    counts = tag_owners(photos)
+    counts = tag_owners(photos).withColumn(
+        "salt", F.pmod(F.xxhash64("owner"), F.lit(SALTS)).cast("int")
+    )
     long_lists = (
         counts.groupBy("tag")
         # uses are never fewer than owners; with them both sides read the same shuffle
         .agg(F.count("*").alias("owners"), F.sum("n").alias("uses"))
         .filter((F.col("owners") > owners_per_row) & (F.col("uses") > owners_per_row))
-        .select("tag", F.ceil(F.col("owners") / owners_per_row).alias("segments"))
+        .select(
+            "tag",
+            F.ceil(F.col("owners") / owners_per_row).alias("segments"),
+            F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"),
+        )
     )
     entry = F.struct((-F.col("n")).alias("order"), F.col("owner"))
     return (
-        counts.join(long_lists, "tag", "left")
+        counts.join(long_lists, ["tag", "salt"], "left")
         .withColumn(
             "segment",
             F.when(

@@ -183,8 +183,7 @@ def q22_nearest_sentences(spark, sf_dir):
 
 
 def _word2vec(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tokenised = scratch.written(scratch.spread(t.tokenised(spark, sf_dir)), "tokens")
-    return embed.word2vec_vectors(tokenised, sentences.SENTIMENTS)
+    return embed.word2vec_vectors(t.written_tokens(spark, sf_dir), sentences.SENTIMENTS)
 
 
 @query

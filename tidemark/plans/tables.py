@@ -57,13 +57,20 @@ def classed_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def classed_sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return scratch.spread(sentences.explode_sentences(classed_reviews(spark, sf_dir)))
+    every = sentences.explode_sentences(classed_reviews(spark, sf_dir))
+    return scratch.spread(every, table(spark, sf_dir, "documents"))
 
 
 def tokenised(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentences.tokenised(sentences.trimmed_sentences(classed_reviews(spark, sf_dir)))
 
 
+def written_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokenised sentences as a table, since fitting a model reads them several times."""
+    documents = table(spark, sf_dir, "documents")
+    return scratch.written(scratch.spread(tokenised(spark, sf_dir), documents), "tokens")
+
+
 def labelled_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "embeddings").select(
         "label",

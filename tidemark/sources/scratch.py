@@ -36,8 +36,8 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Deal the rows out to all cores before heavy per-row work, if the table has fewer
-    files than there are cores. A large table has more and is left where it is."""
+def spread(df: DataFrame, source: DataFrame) -> DataFrame:
+    """Deal the rows out to all cores before heavy per-row work, if the table they come from
+    has fewer files than there are cores. A large table has more and is left where it is."""
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if len(df.inputFiles()) < cores else df
+    return df.repartition(cores) if len(source.inputFiles()) < cores else df
