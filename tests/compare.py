@@ -24,7 +24,7 @@ def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
 
 def plain(value):
     if isinstance(value, float):
-        return "nan" if math.isnan(value) else repr(round(value, 9) + 0.0)
+        return "nan" if math.isnan(value) else repr(value)
     return value
 
 

@@ -72,6 +72,7 @@ def test_movies_and_ratings(spark, tmp_path):
         "2,Heat,Action,extra\n"
         "3,Short\n"
         '4,"Say ""hi"", now",Drama\n'
+        "5,No genre,\n"
     )
     scores = tmp_path / "ratings.csv"
     scores.write_text(
@@ -81,10 +82,11 @@ def test_movies_and_ratings(spark, tmp_path):
     assert {r.movie_id: (r.title, r.genres) for r in read.collect()} == {
         "1": ("American President, The (1995)", ["Comedy", "Drama"]),
         "4": ('Say "hi", now', ["Drama"]),
+        "5": ("No genre", [""]),
     }
     # the field count is checked even when one column is read
-    assert sorted(r[0] for r in read.select("movie_id").collect()) == ["1", "4"]
-    assert read.count() == 2
+    assert sorted(r[0] for r in read.select("movie_id").collect()) == ["1", "4", "5"]
+    assert read.count() == 3
     rated = readers.read_ratings(spark, str(scores))
     assert sorted(tuple(r) for r in rated.collect()) == [("1", 4.0), ("4", 2.0), ("9", 5.0)]
     found = {r.genre: r.average_rating

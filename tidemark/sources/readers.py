@@ -95,7 +95,8 @@ def read_movies(spark: SparkSession, path: str, genre_sep: str = "|") -> DataFra
         .option("escape", '"')
         .csv(path)
     )
-    return raw.withColumn("genres", F.split("genres", f"\\Q{genre_sep}\\E"))
+    genres = F.coalesce("genres", F.lit(""))  # an empty field is one genre without a name
+    return raw.withColumn("genres", F.split(genres, f"\\Q{genre_sep}\\E"))
 
 
 def parse_ratings(lines: DataFrame, line: str = "value") -> DataFrame:
