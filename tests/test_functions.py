@@ -53,6 +53,16 @@ def test_fields_strip_the_line_and_forget_empty_ends(spark):
     assert column(spark, ["a|b||"], lambda c: text.fields(c, "|")) == [["a", "b"]]
 
 
+@settings(max_examples=10, deadline=None)
+@given(st.lists(st.text(alphabet="a, |\n\t", max_size=20), min_size=1, max_size=40))
+def test_has_fields_agrees_with_fields(spark, lines):
+    for sep in ",|":
+        counts = [len(f) for f in column(spark, lines, lambda c: text.fields(c, sep))]
+        for least in (2, 3, 5):
+            has = column(spark, lines, lambda c: text.has_fields(c, least, sep))
+            assert has == [count >= least for count in counts]
+
+
 def test_strip_is_pythons(spark):
     odd = [chr(c) + "x" + chr(c) for c in range(0x3100) if not 0xD800 <= c <= 0xDFFF]
     assert column(spark, odd, text.strip) == [line.strip() for line in odd]

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -60,6 +62,12 @@ def fields(line: Column, sep: str = ",") -> Column:
     return F.split(F.rtrim(strip(line), F.lit(sep)), f"\\Q{sep}\\E")
 
 
+def has_fields(line: Column, least: int, sep: str = ",") -> Column:
+    """Whether ``fields`` would give at least that many, without making them."""
+    inside, end = f"[^{re.escape(sep)}]", re.escape(sep)
+    return strip(line).rlike(rf"\A(?:{inside}*+{end}){{{least - 1}}}{end}*+{inside}")
+
+
 def is_ascii(text: Column) -> Column:
     return ~text.rlike(NON_ASCII)
 

@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 
 def movie_genres(movies: DataFrame) -> DataFrame:
     """One row per movie and genre."""
-    return movies.select("movie_id", F.explode("genres").alias("genre"))
+    genres = movies.select("movie_id", F.explode_outer("genres").alias("genre"))
+    return genres.filter(F.col("genre").isNotNull())
 
 
 def average_rating_per_genre(movies: DataFrame, ratings: DataFrame) -> DataFrame:
@@ -22,7 +23,8 @@ def average_rating_per_genre(movies: DataFrame, ratings: DataFrame) -> DataFrame
     )
     rated = movies.select("movie_id", "genres").join(per_movie, "movie_id")
     return (
-        rated.select(F.explode("genres").alias("genre"), "total", "n")
+        rated.select(F.explode_outer("genres").alias("genre"), "total", "n")
+        .filter(F.col("genre").isNotNull())
         .groupBy("genre")
         .agg((F.sum("total") / F.sum("n")).alias("average_rating"))
     )

@@ -14,7 +14,7 @@ def tag_owners(photos: DataFrame) -> DataFrame:
     """How often each owner uses each ASCII tag."""
     tag = F.col("tag")
     return (
-        photos.select("owner", F.explode("tags").alias("tag"))
+        photos.select("owner", F.explode_outer("tags").alias("tag"))
         .filter((tag != "") & text.is_ascii(tag))
         .groupBy("tag", "owner")
         .agg(F.count("*").alias("n"))

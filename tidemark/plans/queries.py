@@ -282,19 +282,8 @@ def q36_text_round_trip(spark, sf_dir):
 def q37_review_file(spark, sf_dir):
     """Documents written as a gzipped review file with extra columns, and read again."""
     path = scratch.scratch_path(spark, "reviews")
-    documents = t.table(spark, sf_dir, "documents").select(
-        F.lit("US").alias("marketplace"),
-        (F.col("n_chars") % 50).alias("customer_id"),
-        F.col("doc_id").alias("review_id"),
-        F.col("lang").alias("product_id"),
-        F.when(F.col("source") == "src0", "none")
-        .otherwise(F.substring("source", 4, 2))
-        .alias("star_rating"),
-        F.regexp_replace("text", r"\s", " ").alias("review_body"),
-    )
-    documents.write.option("sep", "\t").option("header", True).option(
-        "compression", "gzip"
-    ).csv(path)
+    lines = t.review_table(spark, sf_dir).write.option("sep", "\t").option("header", True)
+    lines.option("compression", "gzip").csv(path)
     return readers.read_reviews(spark, path)
 
 

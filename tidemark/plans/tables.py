@@ -17,6 +17,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    df = table(spark, sf_dir, name)
+    return scratch.spread(df, df)
+
+
 def reviews(spark: SparkSession, sf_dir: str, customers: int, product: str) -> DataFrame:
     """Documents as reviews; the text length, folded, stands in for the customer."""
     return table(spark, sf_dir, "documents").select(
@@ -165,11 +170,24 @@ def video_table(spark: SparkSession, sf_dir: str) -> DataFrame:
         "video_error_or_removed": F.lit(False),
         "country": F.when(F.col("l_linestatus") != "O", F.col("l_suppkey")),
     }
-    return table(spark, sf_dir, "lineitem").select(
+    return spread_table(spark, sf_dir, "lineitem").select(
         *[columns[name].alias(name) for name in readers.VIDEO_FIELDS]
     )
 
 
+def review_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents in columns of a review file, one line each; some ratings are no number."""
+    stars = F.when(F.col("source") == "src0", "none").otherwise(F.substring("source", 4, 2))
+    return spread_table(spark, sf_dir, "documents").select(
+        F.lit("US").alias("marketplace"),
+        (F.col("n_chars") % 50).alias("customer_id"),
+        F.col("doc_id").alias("review_id"),
+        F.col("lang").alias("product_id"),
+        stars.alias("star_rating"),
+        F.regexp_replace("text", r"\s", " ").alias("review_body"),
+    )
+
+
 def movie_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Parts as movie lines; economy parts have a field too many, small ones one too few."""
     title = F.concat(F.lit('"'), F.col("p_name"), F.lit(', ""the"" '), "p_type", F.lit('"'))
@@ -201,7 +219,7 @@ def text_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every physical line of every document."""
     return table(spark, sf_dir, "documents").select(
         F.col("doc_id").alias("doc_id"),
-        F.posexplode(F.split("text", "\n")).alias("line_no", "value"),
+        F.posexplode_outer(F.split("text", "\n")).alias("line_no", "value"),
     )
 
 

@@ -39,14 +39,14 @@ PHOTO_SCHEMA = (
     "place_id string, accuracy string"
 )
 PHOTO_TIME = "yyyy-MM-dd HH:mm:ss"
+FOUR_FIELDS = r"\A[^,]*+,[^,]*+,[^,]*+,[^,]*+\z"
 
 
 def video_lines(lines: DataFrame, line: str = "value") -> DataFrame:
-    """Split lines into ``fields``; short lines and header lines go."""
-    split = lines.withColumn("fields", text.fields(F.col(line)))
-    return split.filter(
-        (F.size("fields") >= len(VIDEO_FIELDS)) & (F.get("fields", F.lit(0)) != VIDEO_FIELDS[0])
-    )
+    """Split lines into ``fields``; short lines and header lines go, before the split."""
+    header = text.strip(F.col(line)).startswith(f"{VIDEO_FIELDS[0]},")
+    whole = lines.filter(text.has_fields(F.col(line), len(VIDEO_FIELDS)) & ~header)
+    return whole.withColumn("fields", text.fields(F.col(line)))
 
 
 def parse_videos(
@@ -104,7 +104,7 @@ def parse_ratings(lines: DataFrame, line: str = "value") -> DataFrame:
     parts = F.split(F.col(line), ",")
     rating = numbers.try_double(F.get(parts, F.lit(2)))
     return (
-        lines.filter(F.size(parts) == 4)
+        lines.filter(F.col(line).rlike(FOUR_FIELDS))
         .select(F.get(parts, F.lit(1)).alias("movie_id"), rating.alias("rating"))
         .filter(F.col("rating").isNotNull())
     )
