@@ -25,7 +25,7 @@ def test_average_rating_per_genre(spark, executed):
 def photos(spark):
     rows = [(f"o{i % 97}", ["dog"] + (["dog", "cat"] if i % 5 == 0 else []) + ["", "café"])
             for i in range(500)]
-    rows += [("solo", ["cat"]), ("none", [])]
+    rows += [("solo", ["cat"]), ("none", []), (None, ["cat"]), ("", ["cat"])]
     return spark.createDataFrame(rows, "owner string, tags array<string>").repartition(5)
 
 
@@ -34,7 +34,7 @@ def expected(photos):
     for row in photos.collect():
         for tag in row.tags:
             if tag and tag.isascii():
-                counts[tag, row.owner] += 1
+                counts[tag, row.owner or ""] += 1
     return counts
 
 
@@ -42,7 +42,7 @@ def test_tag_owners(photos):
     counts = expected(photos)
     found = {(r.tag, r.owner): r.n for r in tags.tag_owners(photos).collect()}
     assert found == counts
-    assert sum(found.values()) == 500 + 2 * 100 + 1
+    assert sum(found.values()) == 500 + 2 * 100 + 3
 
 
 def test_inverted_list_is_one_line_per_tag(photos):

@@ -97,18 +97,18 @@ def test_movies_and_ratings(spark, tmp_path):
 def test_photos(spark, tmp_path):
     path = tmp_path / "photos.txt"
     path.write_text(
-        '1\tme@N01\tdog francis "lab\t2007-11-19 17:49:49\tRR\t16\n'
-        "2\tme@N01\tdog  dog\tnever\tRR\tx\n"
-        "3\tyou@N02\t\t2007-11-19 17:49:49\tRR\t1\n"
+        '1\tann\tsea boat "sun\t2011-03-04 05:06:07\tP1\t16\n'
+        "2\tann\tsea  sea\tnever\tP2\tx\n"
+        "3\tbob\t\t2011-03-04 05:06:07\tP1\t1\n"
     )
     photos = readers.read_photos(spark, str(path))
     rows = {r.photo_id: r for r in photos.collect()}
-    assert rows["1"].tags == ["dog", "francis", '"lab'] and rows["1"].accuracy == 16
-    assert rows["1"].date_taken == datetime.datetime(2007, 11, 19, 17, 49, 49)
+    assert rows["1"].tags == ["sea", "boat", '"sun'] and rows["1"].accuracy == 16
+    assert rows["1"].date_taken == datetime.datetime(2011, 3, 4, 5, 6, 7)
     assert rows["2"].date_taken is None and rows["2"].accuracy is None
     assert rows["3"].tags == []
     found = {r.tag: r.owners for r in tags.inverted_list(photos).collect()}
-    assert found == {"dog": "me@N01=3,", "francis": "me@N01=1,", '"lab': "me@N01=1,"}
+    assert found == {"sea": "ann=3,", "boat": "ann=1,", '"sun': "ann=1,"}
 
 
 def test_text_sink_fixes_the_number_of_parts(spark, tmp_path):

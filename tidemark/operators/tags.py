@@ -11,10 +11,10 @@ SALTS = 64
 
 
 def tag_owners(photos: DataFrame) -> DataFrame:
-    """How often each owner uses each ASCII tag."""
-    tag = F.col("tag")
+    """How often each owner uses each ASCII tag; a missing owner is one without a name."""
+    tag, owner = F.col("tag"), F.coalesce("owner", F.lit("")).alias("owner")
     return (
-        photos.select("owner", F.explode_outer("tags").alias("tag"))
+        photos.select(owner, F.explode_outer("tags").alias("tag"))
         .filter((tag != "") & text.is_ascii(tag))
         .groupBy("tag", "owner")
         .agg(F.count("*").alias("n"))

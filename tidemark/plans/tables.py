@@ -208,7 +208,7 @@ def photo_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.col("p_partkey").cast("string"),
             "p_brand",
             "p_name",
-            F.lit("2007-11-19 17:49:49"),
+            F.lit("2011-03-04 05:06:07"),
             "p_type",
             F.col("p_size").cast("string"),
         ).alias("value")
