@@ -104,6 +104,13 @@ def test_dates(spark):
     assert column(spark, [day(2017, 11, 4)], dates.format_date, "date") == ["04.11.17"]
 
 
+def test_dates_do_not_move_with_the_time_zone(spark, conf):
+    conf("spark.sql.session.timeZone", "Pacific/Auckland")
+    day = datetime.date(2017, 11, 14)
+    assert column(spark, ["14.11.17"], dates.parse_date) == [day]
+    assert column(spark, [day], dates.format_date, "date") == ["14.11.17"]
+
+
 def test_bucket_is_the_head_of_the_md5(spark):
     assert column(spark, ["abc"], lambda c: text.bucket(c, 64)) == [24]
     spread = column(spark, list(string.ascii_letters), lambda c: text.bucket(c, 8))

@@ -1,6 +1,7 @@
 """Every query with SQL gives the rows that DuckDB gives; every query gives rows."""
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as spark_entry
 from tests.compare import connect, oracle_rows, spark_rows
@@ -26,6 +27,25 @@ def test_query(spark, con, sf_dir, name):
     assert rows == expected
 
 
+@pytest.fixture(scope="module")
+def scattered(spark, sf_dir, tmp_path_factory):
+    """The same tables in many files and in another order, so that scans have many tasks."""
+    folder = tmp_path_factory.mktemp("scattered")
+    for name in ("documents", "labels", "embeddings", "orders", "lineitem", "part", "supplier"):
+        df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+        df.repartition(13, F.xxhash64(df.columns[0], F.lit(7))).write.parquet(
+            f"{folder}/{name}.parquet"
+        )
+    return str(folder)
+
+
+@pytest.mark.parametrize("name", list(SQL))
+def test_query_over_many_files(spark, con, scattered, name):
+    _, rows = spark_rows(QUERIES[name](spark, scattered))
+    _, expected = oracle_rows(con, SQL[name])
+    assert rows == expected
+
+
 def test_only_fitted_models_lack_sql():
     assert set(QUERIES) - set(SQL) == {"q23_word2vec_vectors", "q24_word2vec_nearest"}
     assert set(SQL) <= set(QUERIES)
