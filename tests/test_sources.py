@@ -60,6 +60,9 @@ def test_reviews_from_gzip(spark, tmp_path):
             ("c1", "r1", "p1", 5, "Good. Very good!"),
             ("c2", "r2", "p1", None, None),
         ]
+    spread = readers.read_reviews(spark, str(path), rebalance=True)
+    plan = spread.select("review_id")._jdf.queryExecution().executedPlan().toString()
+    assert "REBALANCE" in plan and "review_body" not in plan
     counted = cascade.with_sentences(reviews).collect()
     assert {r.review_id: r.num_sentences for r in counted} == {"r1": 2, "r2": 0}
     assert [r.sentiment for r in sentences.with_sentiment(reviews).collect()] == ["positive"]
