@@ -5,9 +5,8 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as spark_entry
 from tests.compare import connect, oracle_rows, spark_rows
-
-QUERIES = spark_entry.queries()
-SQL = spark_entry.oracle_sql()
+from tidemark.plans.oracle import ORACLE as SQL
+from tidemark.plans.queries import QUERIES
 
 
 @pytest.fixture(scope="module")

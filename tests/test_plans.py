@@ -2,9 +2,8 @@
 
 import pytest
 
-import __spark_entry__ as spark_entry
+from tidemark.plans.queries import QUERIES
 
-QUERIES = spark_entry.queries()
 PYTHON = ("BatchEvalPython", "ArrowEvalPython", "MapInPandas", "FlatMapGroupsInPandas")
 
 
