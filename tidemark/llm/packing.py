@@ -27,6 +27,7 @@ from tidemark.sources import scratch
 
 CAPACITY = 1024
 END_ID = 2
+GROUPS = 64
 PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
 #: Fixed value: how byte-level BPE files of this kind cut a text before merging.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -253,15 +254,15 @@ def pack(
 ) -> DataFrame:
     """The pieces of all documents with their sequence and place.
 
-    Pieces of a length are numbered in groups by a hash of the document, each of about
-    ``rows_per_group`` rows, so that a length that most pieces share is no single task. The
-    pieces are written once; the driver gets one row per length. An empty table gives none.
+    Pieces of a length are numbered in groups by a hash of the document, ``GROUPS`` or as many
+    as keep a group at about ``rows_per_group`` rows, so that a length that most pieces share
+    is no single task. The pieces are written once; the driver gets one row per length. An empty table gives none.
     """
     spark = documents.sparkSession
     cut_up = scratch.written(pieces(documents, path, capacity), "pieces")
     counts = {row["length"]: row["n"] for row in cut_up.groupBy("length").agg(
         F.count("*").alias("n")).collect()}
-    groups = max(1, max(counts.values(), default=0) // rows_per_group)
+    groups = max(GROUPS, max(counts.values(), default=0) // rows_per_group)
     group = F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(groups))
     grouped = cut_up.withColumn("group", group)
     sizes = grouped.groupBy("length", "group").agg(F.count("*").alias("n"))

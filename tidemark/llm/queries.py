@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import base, decontaminate, packing
+from tidemark.llm import base, decontaminate, packing, quality, toxicity
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -18,6 +18,18 @@ def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     )
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = base.table(spark, sf_dir, "documents")
+    model = toxicity.fit(documents, base.table(spark, sf_dir, "labels"))
+    return toxicity.score(documents, model)
+
+
+def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = base.table(spark, sf_dir, "documents")
+    model = quality.fit(documents, base.table(spark, sf_dir, "labels"))
+    return quality.score(documents, model)
+
+
 def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(base.table(spark, sf_dir, "documents"), TOKENIZER)
 
