@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import base, decontaminate, packing, quality, toxicity
+from tidemark.llm import base, decontaminate, language_id, packing, pii, quality, toxicity
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -24,6 +24,15 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(documents, model)
 
 
+def op6_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.digest(pii.find(base.table(spark, sf_dir, "documents")))
+
+
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = base.table(spark, sf_dir, "documents")
+    return language_id.predict(documents, language_id.fit(documents))
+
+
 def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = base.table(spark, sf_dir, "documents")
     model = quality.fit(documents, base.table(spark, sf_dir, "labels"))

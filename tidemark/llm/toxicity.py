@@ -22,8 +22,8 @@ from tidemark.llm import base, fitting
 
 BUCKETS = 1 << 17
 DIMENSIONS = 8
-GRAMS = (3, 4, 5)
-SEGMENT = 3
+GRAMS = (2, 3, 4, 5)
+SEGMENT = 1
 THRESHOLD = 0.7
 ROWS_PER_CLASS = 4_000
 SCHEMA = "doc_id bigint, held_out boolean, score double, predicted int"
@@ -93,7 +93,7 @@ def _numbered(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, list[str]]:
 
 def train(
     texts: list[bytes], n_chars: list, labels: np.ndarray, epochs: int = 120, rate: float = 0.05,
-    dropout: float = 0.5,
+    dropout: float = 0.3,
 ) -> dict[str, np.ndarray]:
     """Fit embeddings and softmax together; classes weigh as they occur.
 
