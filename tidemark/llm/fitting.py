@@ -7,21 +7,36 @@ from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: The most text that a fit takes in, beside its bound on rows.
 SAMPLE_BYTES = 192 << 20
+#: The most classes of a classifier.
+MAX_GROUPS = 10_000
+
+
+def thinned(rows: DataFrame, group: str, rows_per_group: int) -> DataFrame:
+    """About ``rows_per_group`` rows of each group, or all of a smaller one: those whose
+    doc_id has a hash below the share that the group's count asks for. The counts, a row per
+    group, are broadcast; more than ``MAX_GROUPS`` classes are refused."""
+    counts = rows.groupBy(group).agg(F.count("*").alias("_rows"))
+    found = counts.limit(MAX_GROUPS + 1).collect()
+    if len(found) > MAX_GROUPS:
+        raise ValueError(f"more than {MAX_GROUPS} different values of {group} to learn")
+    known = rows.sparkSession.createDataFrame(found, counts.schema)
+    place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 40)) / float(1 << 40)
+    share = F.lit(float(rows_per_group)) / F.col("_rows")
+    return rows.join(F.broadcast(known), group).filter(place < share).drop("_rows")
 
 
 def sample(
     documents: DataFrame, labels: DataFrame, label: str, learn: Column, rows_per_class: int
 ) -> DataFrame:
-    """Up to ``rows_per_class`` documents of each class, chosen by a hash of the doc_id.
+    """About ``rows_per_class`` documents of each class, chosen by a hash of the doc_id.
 
     ``learn`` says which ids may be learnt from. An id with several labels has the highest;
-    ids without a label take no part. The ids are few, however many documents there are, and
-    are broadcast.
+    ids without a label take no part. Of the documents, only the chosen ones are moved.
     """
     known = (
         labels.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col(label).alias("label"))
@@ -29,18 +44,13 @@ def sample(
         .groupBy("doc_id")
         .agg(F.max("label").alias("label"))
     )
-    order = Window.partitionBy("label").orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = (
-        known.withColumn("rank", F.row_number().over(order))
-        .filter(F.col("rank") <= rows_per_class)
-        .drop("rank")
-    )
     texts = documents.select(
         F.col("doc_id").cast("bigint").alias("doc_id"),
         F.coalesce("text", F.lit("")).alias("text"),
         F.col("n_chars").cast("bigint").alias("n_chars"),
     )
-    return texts.join(F.broadcast(chosen), "doc_id")
+    # two classes of rows_per_class ids each, however many documents there are
+    return texts.join(F.broadcast(thinned(known, "label", rows_per_class)), "doc_id")
 
 
 def fit(

@@ -13,10 +13,10 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm import base
+from tidemark.llm import base, fitting
 
 DIMENSIONS = 1024
 GRAM = 3
@@ -93,23 +93,13 @@ class Bundler:
 
 
 def sample(documents: DataFrame, rows_per_language: int = ROWS_PER_LANGUAGE) -> DataFrame:
-    """Texts to learn from: ids whose crc32 modulo 5 is not 0, with a text and a language, up
-    to ``rows_per_language`` of each language by a hash of the id. Only ids are ranked; their
-    texts are looked up afterwards."""
+    """Texts to learn from: ids whose crc32 modulo 5 is not 0, with a text and a language,
+    about ``rows_per_language`` of each language, chosen by a hash of the id."""
     named = documents.select(
         F.col("doc_id").cast("bigint").alias("doc_id"), F.col("lang").cast("string").alias("lang"),
         "text",
     ).filter((base.crc_remainder("doc_id", 5) != 0) & F.col("lang").isNotNull())
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = (
-        named.filter(F.col("text").isNotNull() & F.col("doc_id").isNotNull())
-        .select("lang", "doc_id")
-        .withColumn("rank", F.row_number().over(order))
-        .filter(F.col("rank") <= rows_per_language)
-        .select("lang", "doc_id")
-        .distinct()
-    )
-    return named.join(chosen, ["lang", "doc_id"], "left_semi").filter(F.col("text").isNotNull())
+    return fitting.thinned(named.filter(F.col("text").isNotNull()), "lang", rows_per_language)
 
 
 def fit(

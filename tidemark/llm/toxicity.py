@@ -93,7 +93,7 @@ def _numbered(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, list[str]]:
 
 def train(
     texts: list[bytes], n_chars: list, labels: np.ndarray, epochs: int = 120, rate: float = 0.05,
-    dropout: float = 0.3,
+    dropout: float = 0.3, decay: float = 1e-6,
 ) -> dict[str, np.ndarray]:
     """Fit embeddings and softmax together; classes weigh as they occur.
 
@@ -139,7 +139,7 @@ def train(
         on_bias = np.float32(error.sum())
         adam.step(
             [
-                on_gram[:, None] * direction + 1e-7 * embeddings,
+                on_gram[:, None] * direction + decay * embeddings,
                 np.stack([-on_direction, on_direction], axis=1),
                 np.array([-on_bias, on_bias], np.float32),
             ]
