@@ -3,6 +3,34 @@
 from __future__ import annotations
 
 ORACLE = {
+    "op3_ngram_jaccard_join": r"""
+WITH RECURSIVE docs AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+           'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+sets AS (
+  SELECT doc_id, list_distinct([array_to_string(w[i : i + 4], ' ')
+           FOR i IN range(1, greatest(len(w) - 4, 1) + 1)]) AS s
+  FROM docs WHERE len(w) > 0),
+members AS (SELECT doc_id, len(s) AS n, md5_number_lower(unnest(s)) AS gram FROM sets),
+held AS (SELECT gram, count(*) AS df FROM members GROUP BY gram HAVING count(*) > 1),
+shared AS (SELECT doc_id, n, gram FROM members JOIN held USING (gram)),
+able AS (SELECT doc_id FROM shared GROUP BY doc_id, n HAVING 100 * count(*) >= 75 * n),
+kept AS (SELECT s.* FROM shared s JOIN able USING (doc_id)),
+pairs AS (
+  SELECT a.doc_id AS u, b.doc_id AS v, any_value(a.n) AS m, any_value(b.n) AS n, count(*) AS i
+  FROM kept a JOIN kept b ON a.gram = b.gram AND a.doc_id <> b.doc_id
+  GROUP BY a.doc_id, b.doc_id),
+links AS (SELECT u, v FROM pairs WHERE 100 * i >= 75 * (m + n - i)),
+reach AS (
+  SELECT u AS doc_id, u AS r FROM links
+  UNION
+  SELECT l.u, reach.r FROM links l JOIN reach ON l.v = reach.doc_id),
+least AS (SELECT doc_id, min(r) AS r FROM reach GROUP BY doc_id)
+SELECT d.doc_id, CAST(coalesce(len(s), 0) AS BIGINT) AS n_shingles,
+       coalesce(r, d.doc_id) AS component_id
+FROM docs d LEFT JOIN sets USING (doc_id) LEFT JOIN least USING (doc_id)
+""",
     "op4_benchmark_decontamination": r"""
 WITH docs AS (
   SELECT row_number() OVER () AS r, doc_id,

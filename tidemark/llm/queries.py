@@ -5,11 +5,24 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import base, decontaminate, language_id, packing, pii, quality, toxicity
+from tidemark.llm import (
+    base,
+    decontaminate,
+    jaccard_join,
+    language_id,
+    packing,
+    pii,
+    quality,
+    toxicity,
+)
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op3_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.cluster(base.table(spark, sf_dir, "documents"))
+
+
 def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = base.table(spark, sf_dir, "documents")
     found = decontaminate.matches(documents, base.table(spark, sf_dir, "benchmark"))
