@@ -5,7 +5,7 @@ import numpy as np
 import pytest
 
 from tests.compare import connect, oracle_rows, spark_rows
-from tidemark.llm import jaccard_join, oracle, queries
+from tidemark.llm import exchange, jaccard_join, oracle, queries
 from tidemark.llm.components import components
 
 SCHEMA = "doc_id bigint, text string, key string, n bigint, component_id string"
@@ -131,8 +131,8 @@ def test_packed_hashes():
     dice = np.random.default_rng(2)
     for n in (0, 1, 5, 2_000_000):
         hashes = np.sort(dice.integers(0, 1 << 63, n).astype(np.uint64) * np.uint64(2))
-        packed = jaccard_join.pack_sorted(hashes)
-        assert (jaccard_join.unpack_sorted(packed) == hashes >> np.uint64(16)).all()
+        packed = exchange.pack_sorted(hashes)
+        assert (exchange.unpack_sorted(packed) == hashes >> np.uint64(16)).all()
     assert packed[:1] == b"n" and len(packed) < 4.1 * n
 
 

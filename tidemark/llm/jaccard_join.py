@@ -28,11 +28,10 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm import base, fitting
+from tidemark.llm import base, exchange, fitting
 from tidemark.llm.components import components
 from tidemark.sources import scratch
 
@@ -47,9 +46,6 @@ FACTORS = np.array(
     [0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93,
      0xFF51AFD7ED558CCD], np.uint64
 )
-COUNTED = "bucket int, block string, hashes binary, owners binary, ids array<bigint>, keys array<string>"
-PARTS = "block string, totals binary, shared binary, ids array<bigint>, keys array<string>"
-INFO = "doc_id bigint, key string, n_shingles bigint, n_shared bigint"
 
 
 def tokens(text: bytes) -> list[bytes]:
@@ -85,129 +81,21 @@ def key(words: list[bytes]) -> str | None:
 
 
 def counted(documents: DataFrame, size: int, block_bytes: int) -> DataFrame:
-    """Per document its key, the number of its shingles, and of those that others have too.
+    """Per document its key, the number of its shingles, and of those that others have too."""
 
-    Tasks send the shingles of a block of documents as sorted arrays, cut by hash range into
-    as many buckets as the session has shuffle partitions. A bucket holds every document's
-    shingles of its range, so it knows which are shared; it answers with two counts for each
-    document. A shingle that many documents have is an entry per document like any other.
-    """
-    buckets = int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-
-    def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def maker():
         numbers = word_numbers()
-        task = TaskContext.get().partitionId()
-        for block_no, block in enumerate(base.blocks(batches, limit=block_bytes)):
-            sets, keys = [], []
-            for text in base.texts_as_bytes(block):
-                words = tokens(text)
-                keys.append(key(words))
-                sets.append(shingles(words, numbers, size))
-            hashes = np.concatenate(sets)
-            owners = np.repeat(np.arange(len(sets), dtype=np.uint32), [len(s) for s in sets])
-            order = np.argsort(hashes)
-            hashes, owners = hashes[order], owners[order]
-            limits = (np.arange(1, buckets, dtype=object) * (1 << 64) // buckets).astype(np.uint64)
-            ends = np.concatenate([[0], np.searchsorted(hashes, limits), [len(hashes)]])
-            filled = np.flatnonzero(np.diff(ends)).tolist()
-            ids = block.column("doc_id").to_pylist()
-            narrow = owners.astype(np.uint16) if len(sets) < 1 << 16 else owners
-            rows = []
-            for bucket in filled or [block_no % buckets]:
-                part = slice(ends[bucket], ends[bucket + 1])
-                rows.append(
-                    {
-                        "bucket": bucket,
-                        "block": f"{task}-{block_no}",
-                        "hashes": pack_sorted(hashes[part]),
-                        "owners": narrow[part].tobytes(),
-                        "ids": ids if not rows else None,
-                        "keys": keys if not rows else None,
-                    }
-                )
-            yield pa.RecordBatch.from_pylist(rows, schema=_schema(COUNTED))
-
-    def answer(rows: pa.Table) -> pa.Table:
-        parts = rows.to_pylist()
-        hashes = [unpack_sorted(p["hashes"]) for p in parts]
-        every = np.concatenate(hashes)
-        order = np.argsort(every)
-        ordered = every[order]
-        repeated = np.zeros(len(every), bool)
-        same = ordered[1:] == ordered[:-1]
-        repeated[order[1:][same]] = True
-        repeated[order[:-1][same]] = True
-        out, at = [], 0
-        for p, own in zip(parts, hashes, strict=True):
-            wide = len(p["owners"]) == 4 * len(own)
-            owners = np.frombuffer(p["owners"], np.uint32 if wide else np.uint16)
-            shared = repeated[at : at + len(own)]
-            at += len(own)
-            out.append(
-                {
-                    "block": p["block"],
-                    "totals": np.bincount(owners).astype(np.uint32).tobytes(),
-                    "shared": np.bincount(owners[shared]).astype(np.uint32).tobytes(),
-                    "ids": p["ids"],
-                    "keys": p["keys"],
-                }
-            )
-        return pa.Table.from_pylist(out, schema=_schema(PARTS))
-
-    def merged(rows: pa.Table) -> pa.Table:
-        parts = rows.to_pylist()
-        named = next(p for p in parts if p["ids"] is not None)
-        n = len(named["ids"])
-        sums = {}
-        for name in ("totals", "shared"):
-            sums[name] = np.zeros(n, np.int64)
-            for p in parts:
-                counts = np.frombuffer(p[name], np.uint32)
-                sums[name][: len(counts)] += counts
-        return pa.table(
-            [
-                pa.array(named["ids"], pa.int64()), pa.array(named["keys"], pa.string()),
-                pa.array(sums["totals"]), pa.array(sums["shared"]),
-            ],
-            names=["doc_id", "key", "n_shingles", "n_shared"],
-        )
-
-    rows = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    asked = rows.mapInArrow(cut, COUNTED)
-    answered = asked.groupBy("bucket").applyInArrow(answer, PARTS)
-    return answered.groupBy("block").applyInArrow(merged, INFO)
 
+        def of_text(text: bytes) -> tuple[str | None, np.ndarray]:
+            words = tokens(text)
+            return key(words), shingles(words, numbers, size)
 
-def _schema(ddl: str) -> pa.Schema:
-    kinds = {"int": pa.int32(), "string": pa.string(), "binary": pa.binary(),
-             "bigint": pa.int64(), "array<bigint>": pa.list_(pa.int64()),
-             "array<string>": pa.list_(pa.string())}
-    return pa.schema([(n, kinds[k]) for n, k in (column.split() for column in ddl.split(", "))])
+        return of_text
 
-
-def pack_sorted(hashes: np.ndarray) -> bytes:
-    """Sorted hashes by their upper 48 bits, as steps of 32 bits where those suffice.
-
-    Shared shingles are only counted with these: hashes that agree in 48 bits make a document
-    a candidate at most, and candidates are compared by whole hashes.
-    """
-    if not len(hashes):
-        return b""
-    short = hashes >> np.uint64(16)
-    steps = np.diff(short)
-    if len(steps) and steps.max() >= 1 << 32:
-        return b"w" + short.tobytes()
-    return b"n" + short[:1].tobytes() + steps.astype(np.uint32).tobytes()
-
-
-def unpack_sorted(packed: bytes) -> np.ndarray:
-    if not packed:
-        return np.zeros(0, np.uint64)
-    if packed[:1] == b"w":
-        return np.frombuffer(packed, np.uint64, offset=1)
-    first = np.frombuffer(packed, np.uint64, 1, offset=1)
-    steps = np.frombuffer(packed, np.uint32, offset=9).astype(np.uint64)
-    return np.concatenate([first, first[0] + np.cumsum(steps, dtype=np.uint64)])
+    rows = documents.select(F.col("doc_id").cast("bigint").alias("id"), "text")
+    return exchange.shared(rows, maker, block_bytes=block_bytes).select(
+        F.col("id").alias("doc_id"), "key", F.col("n").alias("n_shingles"), "n_shared"
+    )
 
 
 def least_shared_by_larger(n, percent: int):
