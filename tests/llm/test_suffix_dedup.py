@@ -1,0 +1,106 @@
+import hashlib
+import random
+from collections import Counter
+
+import numpy as np
+import pytest
+
+from tidemark.llm import queries, suffix_dedup
+
+SCHEMA = "doc_id bigint, text string, digest string, node string, copies int, runs int"
+
+
+def brute(rows, length):
+    data = [(r[0], (r[1] or "").encode()) for r in rows]
+    seen = Counter(t[i : i + length] for _, t in data for i in range(len(t) - length + 1))
+    out = []
+    for doc_id, t in data:
+        gone = np.zeros(len(t) + 1, bool)
+        for i in range(len(t) - length + 1):
+            if seen[t[i : i + length]] > 1:
+                gone[i : i + length] = True
+        spans = int((gone & ~np.concatenate([[False], gone[:-1]])).sum())
+        kept = bytes(b for b, g in zip(t, gone, strict=False) if not g)
+        out.append((doc_id, len(t), int(gone.sum()), spans, hashlib.sha256(kept).hexdigest()))
+    return sorted(out, key=repr)
+
+
+def run(spark, rows, **options):
+    found = suffix_dedup.find(spark.createDataFrame(rows, SCHEMA), **options).drop("removed")
+    return sorted((tuple(r) for r in found.collect()), key=repr)
+
+
+def corpus(seed, n, letters):
+    pick = random.Random(seed)
+    some = lambda k: "".join(pick.choice(letters) for _ in range(k))
+    passages = [some(pick.randint(8, 60)) for _ in range(6)] + ["ab" * 30, "a" * 45]
+    rows = []
+    for i in range(n):
+        parts = [pick.choice(passages) if pick.random() < 0.3 else some(pick.randint(0, 40))
+                 for _ in range(pick.randint(0, 5))]
+        rows.append((pick.randrange(n), "".join(parts), "d", None, 3, 4))
+    return rows
+
+
+@pytest.mark.parametrize(
+    "seed, letters, options",
+    [(1, "abcdefgh", {"length": 20, "gram": 6}), (2, "ab", {"length": 16, "gram": 5}),
+     (3, "aé日🙂", {"length": 20, "gram": 6}),
+     (4, "abcdefgh", {"length": 20, "gram": 6, "often": 2})],
+)
+def test_against_brute_force(spark, seed, letters, options):
+    rows = corpus(seed, 120, letters)
+    assert run(spark, rows, **options) == brute(rows, options["length"])
+
+
+def test_odd_rows(spark):
+    long = "".join(random.Random(1).choice("abcdef ") for _ in range(50_000))
+    rows = [
+        (1, None), (1, None), (2, ""), (3, "short"), (3, "short"), (None, "x" * 500),
+        (4, long), (5, "start " + long[10_000:10_400] + " end"), (6, "copy " * 60),
+        (6, "copy " * 60), (None, "y" * 199), (7, "z" * 200), (8, long[:199]),
+    ]
+    rows = [(*r, "", "", 0, 0) for r in rows]
+    found = run(spark, rows)
+    assert found == brute(rows, 200)
+    assert {r[0]: r[2] for r in found}[7] == 0
+
+
+def test_empty_table(spark):
+    assert run(spark, []) == []
+
+
+def test_removed_runs_are_given(spark):
+    rows = [(1, "12345" + "q" * 30, "", "", 0, 0), (2, "zz", "", "", 0, 0)]
+    found = suffix_dedup.find(spark.createDataFrame(rows, SCHEMA), length=20, gram=6).collect()
+    assert {r.doc_id: r.removed for r in found} == {1: [5, 35], 2: []}
+
+
+def test_query_equals_brute_force(spark, sf_dir):
+    rows = [tuple(r) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").collect()]
+    found = queries.op8_suffix_array_dedup(spark, sf_dir).collect()
+    assert sorted((tuple(r) for r in found), key=repr) == brute(rows, 200)
+
+
+def test_long_texts_over_several_stretches(monkeypatch):
+    pick = random.Random(2)
+    text = "".join(pick.choice("abcd") for _ in range(3_000)).encode()
+    whole = suffix_dedup.anchored(text, 40, 8)
+    windows = {p: (c, a) for c, a, f, z in zip(*whole, strict=True) for p in range(f, z + 1)}
+    monkeypatch.setattr(suffix_dedup, "STRETCH", 100)
+    cut = suffix_dedup.anchored(text, 40, 8)
+    assert {p: (c, a) for c, a, f, z in zip(*cut, strict=True) for p in range(f, z + 1)} == windows
+    assert sorted(windows) == list(range(len(text) - 39))
+
+
+def test_order_prefixes_and_transform():
+    pick = random.Random(3)
+    strings = [bytes(pick.choice(b"ab") for _ in range(pick.randint(1, 9))) for _ in range(40)]
+    firsts = np.array([pick.randint(-4, 0) for _ in strings])
+    for column, order, prefix, transform in suffix_dedup.Collection(strings, firsts).rounds():
+        suffix = [strings[i][column - firsts[i] :] if firsts[i] <= column else b"" for i in order]
+        assert suffix == sorted(suffix)
+        for a, b, n in zip(suffix, suffix[1:], prefix[1:], strict=False):
+            common = next((i for i, (x, y) in enumerate(zip(a, b, strict=False)) if x != y), min(len(a), len(b)))
+            assert n == common
+        assert sorted(transform) == sorted((s[0] + 1) if s else 0 for s in suffix)

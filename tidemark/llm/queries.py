@@ -13,6 +13,7 @@ from tidemark.llm import (
     packing,
     pii,
     quality,
+    suffix_dedup,
     toxicity,
 )
 
@@ -46,6 +47,10 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.predict(documents, language_id.fit(documents))
 
 
+def op8_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.find(base.table(spark, sf_dir, "documents")).drop("removed")
+
+
 def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = base.table(spark, sf_dir, "documents")
     model = quality.fit(documents, base.table(spark, sf_dir, "labels"))
