@@ -2,7 +2,58 @@
 
 from __future__ import annotations
 
+_KINDS = {
+    "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
+    "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+    "card": r"[0-9]([\x20-]?[0-9])+",
+    "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
+    "iban": r"[A-Z]{2}[0-9]{2}(?:[A-Z0-9]{11,30}|(?: [A-Z0-9]{4}){2,7}(?: [A-Z0-9]{1,4})?)",
+    "ssn": r"[0-9-]+",
+    "secret": r"[A-Za-z0-9+/_-]{16,}",
+}
+_FOUND = " UNION ALL ".join(
+    f"""SELECT r, {i} AS o, '{kind}' AS kind, regexp_extract_all(t, '{pattern}') AS f,
+        string_split_regex(t, '{pattern}') AS g FROM docs"""
+    for i, (kind, pattern) in enumerate(_KINDS.items())
+)
+
 ORACLE = {
+    "op1_line_dedup": r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS r, doc_id, coalesce(doc_id, -9223372036854775808) AS rid,
+         text IS NULL AS missing, md5(coalesce(text, '')) AS digest,
+         string_split(coalesce(text, ''), chr(10)) AS l
+  FROM documents),
+lines AS (
+  SELECT r, rid, digest, unnest(range(len(l))) AS i, unnest(l) AS line FROM docs),
+hashed AS (SELECT *, CAST('0x' || substr(md5(line), 1, 7) AS BIGINT) AS h FROM lines),
+cuts AS (
+  SELECT r, rid, digest, i, line,
+         (h + 31 * coalesce(lag(h) OVER (PARTITION BY r ORDER BY i), 0)) % 3 = 0 AS ends
+  FROM hashed),
+numbered AS (
+  SELECT *, coalesce(sum(CAST(ends AS INTEGER)) OVER (PARTITION BY r ORDER BY i
+           ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS k
+  FROM cuts),
+chunks AS (
+  SELECT r, rid, digest, k, min(i) AS b, max(i) + 1 AS e,
+         string_agg(line, chr(10) ORDER BY i) AS chunk
+  FROM numbered GROUP BY r, rid, digest, k HAVING count(*) >= 2),
+firsts AS (SELECT chunk, min({'rid': rid, 'digest': digest, 'k': k}) AS f FROM chunks GROUP BY chunk),
+gone AS (
+  SELECT r, b, e FROM chunks JOIN firsts USING (chunk)
+  WHERE {'rid': rid, 'digest': digest, 'k': k} <> f),
+lost AS (SELECT r, count(*) AS n, sum(e - b) AS m FROM gone GROUP BY r),
+left_over AS (
+  SELECT n.r, string_agg(line, chr(10) ORDER BY i) AS t
+  FROM numbered n LEFT JOIN gone g ON n.r = g.r AND n.i >= g.b AND n.i < g.e
+  WHERE g.r IS NULL GROUP BY n.r)
+SELECT doc_id, CAST(CASE WHEN missing THEN 0 ELSE len(l) END AS BIGINT) AS n_lines,
+       CAST(coalesce(n, 0) AS BIGINT) AS n_chunks_removed,
+       CAST(coalesce(m, 0) AS BIGINT) AS n_lines_removed,
+       sha256(coalesce(t, '')) AS kept_sha256
+FROM docs LEFT JOIN lost USING (r) LEFT JOIN left_over USING (r)
+""",
     "op3_ngram_jaccard_join": r"""
 WITH RECURSIVE docs AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
@@ -30,6 +81,51 @@ least AS (SELECT doc_id, min(r) AS r FROM reach GROUP BY doc_id)
 SELECT d.doc_id, CAST(coalesce(len(s), 0) AS BIGINT) AS n_shingles,
        coalesce(r, d.doc_id) AS component_id
 FROM docs d LEFT JOIN sets USING (doc_id) LEFT JOIN least USING (doc_id)
+""",
+    "op6_personal_data": rf"""
+WITH docs AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents),
+found AS ({_FOUND}),
+placed AS (
+  SELECT r, o, kind, unnest(f) AS m, unnest(g[: len(f)]) AS gap,
+         unnest([list_sum(list_transform(g[: i], lambda x: length(x)))
+                 + coalesce(list_sum(list_transform(f[: i - 1], lambda x: length(x))), 0)
+                 FOR i IN range(1, len(f) + 1)]) AS s
+  FROM found WHERE len(f) > 0),
+read AS (
+  SELECT *, regexp_replace(m, '[^0-9]', '', 'g') AS d, right(gap, 40) AS before,
+         replace(m, ' ', '') AS code FROM placed),
+tested AS (
+  SELECT r, o, kind, s, s + length(m) AS e,
+    CASE kind WHEN 'email' THEN true
+    WHEN 'ip' THEN list_bool_and([length(ltrim(x, '0')) <= 3 AND
+           CAST('0' || right(x, 3) AS INTEGER) <= 255 FOR x IN string_split(m, '.')])
+    WHEN 'phone' THEN length(d) BETWEEN 10 AND 15
+    WHEN 'card' THEN length(d) BETWEEN 14 AND 19 AND list_sum([
+           CASE WHEN i % 2 = 1 THEN CAST(reverse(d)[i] AS INTEGER)
+                WHEN CAST(reverse(d)[i] AS INTEGER) > 4 THEN 2 * CAST(reverse(d)[i] AS INTEGER) - 9
+                ELSE 2 * CAST(reverse(d)[i] AS INTEGER) END
+           FOR i IN range(1, length(d) + 1)]) % 10 = 0
+    WHEN 'iban' THEN list_reduce(
+           [0] || [CASE WHEN c BETWEEN '0' AND '9' THEN CAST(c AS INTEGER) ELSE ord(c) - 55 END
+                   FOR c IN string_split(code[5:] || code[:4], '')],
+           lambda a, v: (a * CASE WHEN v > 9 THEN 100 ELSE 10 END + v) % 97) = 1
+    WHEN 'ssn' THEN regexp_matches(m, '^[0-9]{{3}}-[0-9]{{2}}-[0-9]{{4}}$')
+         AND NOT regexp_matches(m, '^000|^666|^9|-00-|-0000$')
+         AND regexp_matches(before, '(?i)(?:^|[^a-z])(?:ssn|social|security|insurance)(?:[^a-z]|$)')
+    ELSE regexp_matches(m, '[0-9]') AND regexp_matches(m, '[A-Za-z]') AND regexp_matches(before,
+           '(?i)(?:password|passwd|secret|token|api[_ -]?key)["'']? *[:=] *["'']?$') END AS ok
+  FROM read),
+spans AS (SELECT *, kind || ':' || s || ':' || e AS w FROM tested WHERE ok),
+lists AS (
+  SELECT r, count(*) FILTER (kind = 'email') AS n_email, count(*) FILTER (kind = 'ip') AS n_ip,
+         count(*) FILTER (kind = 'card') AS n_card, count(*) FILTER (kind = 'phone') AS n_phone,
+         string_agg(w, ',' ORDER BY s, o) FILTER (o < 4) AS base,
+         string_agg(w, ',' ORDER BY s, o) AS spans
+  FROM spans GROUP BY r)
+SELECT doc_id, coalesce(n_email, 0) AS n_email, coalesce(n_ip, 0) AS n_ip,
+       coalesce(n_card, 0) AS n_card, coalesce(n_phone, 0) AS n_phone,
+       sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM docs LEFT JOIN lists USING (r)
 """,
     "op4_benchmark_decontamination": r"""
 WITH docs AS (

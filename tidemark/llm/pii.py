@@ -23,6 +23,10 @@ THRESHOLD = 0.6
 CONTEXT = 40
 
 
+def _word(words: str) -> str:
+    return f"(?i)(?:^|[^a-z])(?:{words})(?:[^a-z]|$)"
+
+
 def _matching(pattern: str) -> Callable[[Column], Column]:
     return lambda match: match.rlike(pattern)
 
@@ -100,7 +104,7 @@ KINDS = (
         r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++",
         _matching(r"[0-9]\.[0-9]"),
         octets,
-        context=r"(?i)\b(?:ip|host|address|server|from)\b",
+        context=_word("ip|host|address|server|from"),
         base=True,
     ),
     # [0-9]([\x20-]?[0-9])+
@@ -109,7 +113,7 @@ KINDS = (
         r"[0-9](?:[\x20-]?[0-9])++",
         _matching(r"[0-9][\x20-]?[0-9]"),
         card,
-        context=r"(?i)\b(?:card|visa|credit|debit|payment)\b",
+        context=_word("card|visa|credit|debit|payment"),
         base=True,
     ),
     Kind(
@@ -119,37 +123,39 @@ KINDS = (
         phone,
         prior=0.6,
         checked=0.2,
-        context=r"(?i)\b(?:tel|phone|call|fax|mobile)\b",
+        context=_word("tel|phone|call|fax|mobile"),
         base=True,
     ),
-    # [A-Z]{2}[0-9]{2}( ?[A-Z0-9]){11,30}, at the start of a word
+    # compact, or in groups of four
     Kind(
         "iban",
-        r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}+(?![A-Za-z0-9])",
+        r"[A-Z]{2}[0-9]{2}(?:[A-Z0-9]{11,30}|(?: [A-Z0-9]{4}){2,7}(?: [A-Z0-9]{1,4})?)",
         _matching(r"[A-Z]{2}[0-9]{2}"),
         mod_97,
         prior=0.3,
-        context=r"(?i)\b(?:iban|account|bank|konto|cuenta|compte)\b",
+        context=_word("iban|account|bank|konto|cuenta|compte"),
         near=0.2,
     ),
-    # [0-9]{3}-[0-9]{2}-[0-9]{4}, alone
+    # a run of digits and hyphens is three, two and four digits
     Kind(
         "ssn",
-        r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
+        r"[0-9-]+",
         _matching(r"[0-9]-[0-9]{2}-[0-9]"),
-        lambda match: ~match.rlike(r"^(?:000|666|9)|-00-|-0000$"),
+        lambda match: match.rlike("^[0-9]{3}-[0-9]{2}-[0-9]{4}$")
+        & ~match.rlike("^000|^666|^9|-00-|-0000$"),
         prior=0.2,
         checked=0.1,
-        context=r"(?i)\b(?:ssn|social|security|insurance)\b",
+        context=_word("ssn|social|security|insurance"),
     ),
-    # [A-Za-z0-9+/_-]{16,} with a letter and a digit, after a word that announces a secret
+    # a letter and a digit among 16 or more, after a word that announces a secret
     Kind(
         "secret",
-        r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]*+[0-9])(?=[0-9+/_-]*+[A-Za-z])"
-        r"[A-Za-z0-9+/_-]{16,}+",
+        r"[A-Za-z0-9+/_-]{16,}",
         _matching(r"(?i)password|passwd|secret|token|api[_ -]?key"),
-        prior=0.3,
-        context=r"(?i)(?:password|passwd|secret|token|api[_ -]?key)[\"']?\s*[:=]\s*[\"']?\s*$",
+        lambda match: match.rlike("[0-9]") & match.rlike("[A-Za-z]"),
+        prior=0.1,
+        checked=0.2,
+        context="(?i)(?:password|passwd|secret|token|api[_ -]?key)[\"']? *[:=] *[\"']?$",
     ),
 )
 BASE = tuple(kind.name for kind in KINDS if kind.base)

@@ -10,9 +10,11 @@ from tidemark.llm import (
     decontaminate,
     jaccard_join,
     language_id,
+    line_dedup,
     packing,
     pii,
     quality,
+    spotsigs,
     suffix_dedup,
     toxicity,
 )
@@ -20,6 +22,15 @@ from tidemark.llm import (
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.find(base.table(spark, sf_dir, "documents"))
+
+
+def op2_spotsigs_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = spotsigs.compare_with_next(base.table(spark, sf_dir, "documents"))
+    return found.drop("n_signatures")
+
+
 def op3_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.cluster(base.table(spark, sf_dir, "documents"))
 
