@@ -109,9 +109,10 @@ def forward(model: dict, starts: np.ndarray, keys: np.ndarray, x: np.ndarray):
 
 def train(
     texts: list[bytes], n_chars: list, labels: np.ndarray, rank: int = 6, epochs: int = 12,
-    batch: int = 128, rate: float = 0.01, decay: float = 1e-6,
+    batch: int = 128, rate: float = 0.01, decay: float = 1e-6, least_steps: int = 400,
 ) -> dict[str, np.ndarray]:
-    """Fit by Adam on the log-loss; without labels of both classes every score is 0.5 or more
+    """Fit by Adam on the log-loss, in ``epochs`` passes or as many as make ``least_steps``;
+    without labels of both classes every score is 0.5 or more
     on the side of the class there is."""
     dice = np.random.default_rng(7)
     size = WORD_BUCKETS + BINS * STATISTICS
@@ -126,7 +127,8 @@ def train(
     numbers = fitting.Numbers(bucket)
     starts, keys, x = features(texts, n_chars, numbers)
     adam = fitting.Adam([model["w0"], model["w"], model["v"]], rate)
-    for _ in range(epochs):
+    passes = max(epochs, -(-least_steps * batch // len(labels)))
+    for _ in range(passes):
         order = dice.permutation(len(labels))
         for at in range(0, len(order), batch):
             picked = order[at : at + batch]
