@@ -84,12 +84,12 @@ def _marked(documents: DataFrame, rolling: int, spacing: int, min_lines: int) ->
     spark = documents.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     own = ["_rid", "_digest"]
+    names = documents.columns
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     keyed = documents.select(
-        *[documents[name].alias(f"c{i}") for i, name in enumerate(documents.columns)],
+        *[documents[name].alias(f"c{i}") for i, name in enumerate(names)],
         F.coalesce(F.col("doc_id").cast("bigint"), F.lit(-(1 << 63))).alias("_rid"),
         F.md5(text.cast("binary")).alias("_digest"),
-        text.alias("_text"),
     )
     name = f"lines_{uuid.uuid4().hex}"
     (
@@ -98,7 +98,8 @@ def _marked(documents: DataFrame, rolling: int, spacing: int, min_lines: int) ->
         .option("path", scratch.scratch_path(spark, "lines"))
         .saveAsTable(name)
     )
-    table = spark.table(name)
+    stored = F.col(f"c{names.index('text')}").cast("string")
+    table = spark.table(name).withColumn("_text", F.coalesce(stored, F.lit("")))
     found = chunks(F.col("_text"), rolling, spacing, min_lines)
     several = F.col("_text").contains("\n")  # a chunk of a single line never goes
     listed = table.filter(several).select(*own, F.posexplode(found).alias("k", "chunk"))
