@@ -104,6 +104,25 @@ def test_dates(spark):
     assert column(spark, [day(2017, 11, 4)], dates.format_date, "date") == ["04.11.17"]
 
 
+def test_last_day_of_two_digit_years(spark):
+    texts = ["31.12.68", "01.01.69", "05.06.30"]
+    assert column(spark, texts, dates.parse_date) == [
+        datetime.date(2068, 12, 31), datetime.date(1969, 1, 1), datetime.date(2030, 6, 5),
+    ]
+    latest = datetime.date(2029, 12, 31)
+    assert column(spark, texts, lambda c: dates.parse_date(c, latest=latest)) == [
+        datetime.date(1968, 12, 31), datetime.date(1969, 1, 1), datetime.date(1930, 6, 5),
+    ]
+
+
+def test_exact_dot(spark):
+    rows = [([1 << 31, -3], [1 << 31, 5]), ([0, 2], [7, 0])]
+    df = spark.createDataFrame(rows, "a array<bigint>, b array<bigint>")
+    found = [r[0] for r in df.select(vectors.exact_dot("a", "b")).collect()]
+    assert found == [(1 << 62) - 15, 0]
+    assert df.limit(0).select(vectors.exact_dot("a", "b")).count() == 0
+
+
 def test_dates_do_not_move_with_the_time_zone(spark, conf):
     conf("spark.sql.session.timeZone", "Pacific/Auckland")
     day = datetime.date(2017, 11, 14)

@@ -3,20 +3,67 @@
 import pytest
 
 from tidemark.plans.queries import QUERIES
+from tidemark.sources import scratch
 
 PYTHON = ("BatchEvalPython", "ArrowEvalPython", "MapInPandas", "FlatMapGroupsInPandas")
 
 
-@pytest.mark.parametrize(
-    "name", [n for n in QUERIES if not n.startswith(("q23", "q24", "q36", "q37", "q4"))]
-)
+FILES = ("q36", "q37", "q42", "q43", "q44", "q46", "q47", "q48")
+#: Unit vectors, exact products and loaded models run over Arrow batches.
+VECTORS = ("q20", "q21", "q22", "q23", "q24", "q39", "q40", "q41")
+
+
+@pytest.mark.parametrize("name", [n for n in QUERIES if not n.startswith(FILES)])
 def test_no_python_and_no_cross_joins(spark, sf_dir, name):
     plan = QUERIES[name](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan and "NestedLoopJoin" not in plan
-    if name != "q39_encoded_vectors":
+    if not name.startswith(VECTORS):
         assert not any(node in plan for node in PYTHON)
 
 
+@pytest.fixture
+def written_plans(monkeypatch):
+    """The plans of the tables that a query writes while it is built, by name."""
+    plans = {}
+
+    def keep(df, name, partition_by=None, written=scratch.written):
+        plans.setdefault(name, []).append(df._jdf.queryExecution().executedPlan().toString())
+        return written(df, name, partition_by)
+
+    monkeypatch.setattr(scratch, "written", keep)
+    return plans
+
+
+def test_cascade_counts_pairs_before_it_cuts(spark, sf_dir, written_plans):
+    QUERIES["q12_active_by_median"](spark, sf_dir)
+    assert set(written_plans) == {"pair-counts", "kept-customer_id", "kept-product_id"}
+    (pairs,) = written_plans["pair-counts"]
+    assert "partial_count(1)" in pairs and "ReadSchema: struct<text:string,lang:string,n_chars:bigint>" in pairs
+    for key in ("kept-customer_id", "kept-product_id"):
+        (kept,) = written_plans[key]
+        assert "partial_sum(n" in kept and "documents.parquet" not in kept.split("Subquery")[0]
+
+
+@pytest.mark.parametrize("name", ["q19_hashed_vectors", "q20_mean_distances", "q22_nearest_sentences",
+                                  "q37_review_file", "q39_encoded_vectors", "q42_video_file"])
+def test_no_round_robin(spark, sf_dir, written_plans, name):
+    plan = QUERIES[name](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    for part in [plan, *(p for plans in written_plans.values() for p in plans)]:
+        assert "RoundRobin" not in part
+
+
+def test_embeddings_are_read_once(spark, sf_dir, written_plans):
+    plan = QUERIES["q41_label_nearest"](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    every = [plan, *(p for plans in written_plans.values() for p in plans)]
+    assert sum(p.count("embeddings.parquet") for p in every) == 1
+
+
+def test_class_sums_are_made_in_the_map_tasks(spark, sf_dir, written_plans):
+    QUERIES["q21_class_centres"](spark, sf_dir)
+    (means,) = written_plans["class-means"]
+    assert means.index("Exchange") < means.index("MapInArrow") and "partial_sum(" in means
+
+
 @pytest.mark.parametrize(
     "name",
     ["q06_top_customers", "q07_top_products", "q14_top_customers_by_sentences",
@@ -56,6 +103,8 @@ def test_ratings_are_summed_before_the_join(spark, sf_dir):
 
 
 @pytest.mark.parametrize("name", ["q22_nearest_sentences", "q41_label_nearest"])
-def test_neighbours_are_cut_before_the_shuffle(spark, sf_dir, name):
+def test_neighbours_are_cut_before_the_shuffle(spark, sf_dir, written_plans, name):
     plan = QUERIES[name](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
-    assert "row_number(), 10, Partial" in plan and "row_number(), 1, Partial" in plan
+    assert "row_number(), 10, Partial" in plan
+    (centre,) = written_plans["centre-ids"]
+    assert "row_number(), 1, Partial" in centre

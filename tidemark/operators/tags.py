@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions import text
-
-SALTS = 64
+from tidemark.sources import scratch
 
 
 def tag_owners(photos: DataFrame) -> DataFrame:
@@ -22,47 +21,41 @@ def tag_owners(photos: DataFrame) -> DataFrame:
 
 
 def inverted_list(photos: DataFrame, owners_per_row: int = 10_000) -> DataFrame:
-    """Tag to ``owner=count,owner=count,``, busiest owner first, then by name.
+    """Tag to ``owner=count,owner=count,``, busiest owner first, then by name, in pages.
 
-    A tag with up to ``owners_per_row`` owners is one row, segment 0. A tag with more is
-    spread over as many segments as it needs by a hash of the owner; every owner is in
-    exactly one of them, and no task has to hold the whole list. The number of segments
-    reaches the owners of a tag by a join that is salted with the owner: the few long tags
-    are repeated once per salt, at most one row for ``owners_per_row / SALTS`` owners.
+    Page i of a tag holds its owners from rank ``i * owners_per_row`` on; a tag with no more
+    owners than that is page 0. Owners are sorted by range over all tags, so the owners of a
+    busy tag lie in several tasks; each adds to its own places the number of the tag's owners
+    in the tasks before. The sorted counts are written when this is called.
     """
-    counts = tag_owners(photos).withColumn(
-        "salt", F.pmod(F.xxhash64("owner"), F.lit(SALTS)).cast("int")
+    counts = tag_owners(photos).withColumn("order", -F.col("n"))
+    ordered = counts.repartitionByRange("tag", "order", "owner").sortWithinPartitions(
+        "tag", "order", "owner"
     )
-    long_lists = (
-        counts.groupBy("tag")
-        # uses are never fewer than owners; with them both sides read the same shuffle
-        .agg(F.count("*").alias("owners"), F.sum("n").alias("uses"))
-        .filter((F.col("owners") > owners_per_row) & (F.col("uses") > owners_per_row))
-        .select(
-            "tag",
-            F.ceil(F.col("owners") / owners_per_row).alias("segments"),
-            F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"),
-        )
+    place = F.monotonically_increasing_id()  # the task, and the row within it
+    table = scratch.written(
+        ordered.withColumn("place", place).withColumn("task", F.shiftright("place", 33)),
+        "owner-counts",
+    )
+    in_task = table.groupBy("tag", "task").agg(F.min("place").alias("first"), F.count("*").alias("m"))
+    tasks_in_order = Window.partitionBy("tag").orderBy("task")
+    before = in_task.select(
+        "tag", "task", "first", (F.sum("m").over(tasks_in_order) - F.col("m")).alias("before")
     )
-    entry = F.struct((-F.col("n")).alias("order"), F.col("owner"))
+    rank = F.col("before") + F.col("place") - F.col("first")
     return (
-        counts.join(long_lists, ["tag", "salt"], "left")
-        .withColumn(
-            "segment",
-            F.when(
-                F.col("segments").isNotNull(), text.bucket(F.col("owner"), F.col("segments"))
-            ).otherwise(F.lit(0).cast("bigint")),
-        )
-        .groupBy("tag", "segment")
-        .agg(F.sort_array(F.collect_list(entry)).alias("entries"))
+        table.join(before, ["tag", "task"])
+        .withColumn("page", F.floor(rank / owners_per_row))
+        .groupBy("tag", "page")
+        .agg(F.sort_array(F.collect_list(F.struct("order", "owner", "n"))).alias("entries"))
         .select(
             "tag",
-            "segment",
+            "page",
             F.array_join(
                 F.transform(
                     "entries",
                     lambda e: F.concat(
-                        e["owner"], F.lit("="), (-e["order"]).cast("string"), F.lit(",")
+                        e["owner"], F.lit("="), e["n"].cast("string"), F.lit(",")
                     ),
                 ),
                 "",

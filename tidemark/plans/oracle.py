@@ -123,76 +123,104 @@ VECTORS = f"""{CLASSED},
         SELECT grp, review_id, pos,
                cast(('0x' || substr(md5(word), 1, 8))::bigint % 64 AS int) AS dim,
                count(*)::double AS weight
-        FROM words GROUP BY ALL)"""
+        FROM words GROUP BY ALL),
+    lengths AS (
+        SELECT review_id, pos, sqrt(sum(weight * weight)) AS length
+        FROM vectors GROUP BY review_id, pos)"""
 LABELLED = """
+    exploded AS (SELECT vec_id AS review_id, 0 AS pos, NULL AS sentence FROM embeddings),
     vectors AS (
         SELECT label AS grp, vec_id AS review_id, 0 AS pos,
                unnest(generate_series(1, len(embedding))) AS dim,
                unnest(embedding::double[]) AS weight
+        FROM embeddings),
+    lengths AS (
+        SELECT vec_id AS review_id, 0 AS pos,
+               sqrt(list_sum(list_transform(embedding::double[], lambda x: x * x))) AS length
         FROM embeddings)"""
 LONG = f"""
     WITH {VECTORS}
     SELECT grp AS sentiment, review_id, pos, dim, weight FROM vectors"""
 ORACLE["q19_hashed_vectors"] = LONG
 ORACLE["q39_encoded_vectors"] = LONG
+DISTANCE = "round(1 - product::double / 4611686018427387904.0, 6) + 0.0 AS distance"
 
 
 def distances(vectors: str) -> str:
+    """Unit vectors in whole numbers of 1 / 2**31, so that sums are exact and ranked as such."""
     return f"""{vectors},
-    lengths AS (
-        SELECT review_id, pos, sqrt(sum(weight * weight)) AS length
-        FROM vectors GROUP BY review_id, pos),
     units AS (
-        SELECT grp, review_id, pos, dim, weight / length AS unit
+        SELECT grp, review_id, pos, dim,
+               round_even(weight / length * 2147483648, 0)::bigint AS unit
         FROM vectors JOIN lengths USING (review_id, pos) WHERE length > 0),
     sizes AS (
         SELECT grp, count(DISTINCT (review_id, pos)) AS size FROM units GROUP BY grp),
     means AS (
-        SELECT grp, dim, sum(unit) / any_value(size) AS mean
+        SELECT grp, dim, (sum(unit) // any_value(size))::bigint AS mean
         FROM units JOIN sizes USING (grp) GROUP BY grp, dim),
-    distances AS (
-        SELECT grp, review_id, pos, round(1 - sum(unit * mean), 6) + 0.0 AS distance
+    products AS (
+        SELECT grp, review_id, pos, sum(unit * mean) AS product
         FROM units JOIN means USING (grp, dim) GROUP BY grp, review_id, pos),
+    distances AS (SELECT grp, review_id, pos, {DISTANCE} FROM products),
+    best AS (
+        SELECT * FROM products
+        QUALIFY row_number() OVER (
+            PARTITION BY grp ORDER BY product DESC, review_id, pos) = 1),
     centres AS (
-        SELECT * FROM distances
-        QUALIFY row_number() OVER (PARTITION BY grp ORDER BY distance, review_id, pos) = 1),
+        SELECT b.grp, b.review_id, b.pos, e.sentence, {DISTANCE}
+        FROM best b JOIN exploded e USING (review_id, pos)),
     centre_units AS (
-        SELECT grp, c.review_id AS centre_review_id, c.pos AS centre_pos, dim,
-               unit AS centre_unit
-        FROM units JOIN centres c USING (grp, review_id, pos)),
+        SELECT grp, dim, unit AS centre_unit
+        FROM units JOIN best c USING (grp, review_id, pos)),
     dots AS (
-        SELECT u.grp, u.review_id, u.pos, sum(unit * coalesce(centre_unit, 0)) AS dot
+        SELECT u.grp, u.review_id, u.pos, sum(unit * coalesce(centre_unit, 0)) AS product
         FROM units u LEFT JOIN centre_units cu ON u.grp = cu.grp AND u.dim = cu.dim
         GROUP BY ALL),
     nearest AS (
         SELECT d.grp, d.review_id, d.pos, c.review_id AS centre_review_id,
-               c.pos AS centre_pos, round(1 - dot, 6) + 0.0 AS distance
+               c.pos AS centre_pos, c.sentence AS centre_sentence, d.product,
+               round(1 - d.product::double / 4611686018427387904.0, 6) + 0.0 AS distance
         FROM dots d JOIN centres c ON d.grp = c.grp
         WHERE d.review_id <> c.review_id OR d.pos <> c.pos)"""
 
 
-def nearest(vectors: str, group: str) -> str:
+def nearest(vectors: str, group: str, sentence: str = "") -> str:
     return f"""
     WITH {distances(vectors)},
     ranked AS (
         SELECT *, cast(row_number() OVER (
-            PARTITION BY grp ORDER BY distance, review_id, pos) AS int) AS rank
+            PARTITION BY grp ORDER BY product DESC, review_id, pos) AS int) AS rank
         FROM nearest)
-    SELECT grp AS {group}, review_id, pos, centre_review_id, centre_pos, distance, rank
+    SELECT grp AS {group}, review_id, pos, centre_review_id, centre_pos, {sentence}
+           distance, rank
     FROM ranked WHERE rank <= 10"""
 
 
-def grouped(vectors: str, group: str, result: str) -> str:
+def grouped(vectors: str, group: str, result: str, sentence: str = "") -> str:
     return f"""
     WITH {distances(vectors)}
-    SELECT grp AS {group}, review_id, pos, distance FROM {result}"""
+    SELECT grp AS {group}, review_id, pos, {sentence} distance FROM {result}"""
 
 
 ORACLE["q20_mean_distances"] = grouped(VECTORS, "sentiment", "distances")
-ORACLE["q21_class_centres"] = grouped(VECTORS, "sentiment", "centres")
-ORACLE["q22_nearest_sentences"] = nearest(VECTORS, "sentiment")
+ORACLE["q21_class_centres"] = grouped(VECTORS, "sentiment", "centres", "sentence,")
+ORACLE["q22_nearest_sentences"] = nearest(VECTORS, "sentiment", "centre_sentence,")
 ORACLE["q40_label_centres"] = grouped(LABELLED, "label", "centres")
 ORACLE["q41_label_nearest"] = nearest(LABELLED, "label")
+TOKENISED = f"""{CLASSED},
+    tokenised AS (
+        SELECT *, regexp_extract_all(lower(sentence), '\\w+') AS tokens FROM trimmed)"""
+ORACLE["q23_word2vec_vectors"] = f"""
+    WITH {TOKENISED}
+    SELECT sentiment, review_id, pos, cast(512 AS int) AS size, true AS is_mean
+    FROM tokenised WHERE len(tokens) > 1"""
+ORACLE["q24_word2vec_nearest"] = f"""
+    WITH {TOKENISED},
+    sizes AS (
+        SELECT sentiment, count(*) AS n FROM tokenised WHERE len(tokens) > 1
+        GROUP BY sentiment)
+    SELECT sentiment, cast(rank AS int) AS rank, true AS agrees
+    FROM (SELECT sentiment, unnest(generate_series(1, least(10, n - 1))) AS rank FROM sizes)"""
 
 RATIO = """
     SELECT p_brand AS category,
@@ -242,14 +270,21 @@ TAGS = """
     WHERE tag <> '' AND NOT regexp_matches(tag, '[^\\x00-\\x7F]')
     GROUP BY tag, owner"""
 ORACLE["q32_tag_owners"] = TAGS
-ORACLE["q33_inverted_list"] = f"""
+
+
+def pages(owners_per_row: int) -> str:
+    return f"""
     WITH counts AS ({TAGS}),
-    sizes AS (
-        SELECT tag, cast(ceil(count(*) / 10000) AS bigint) AS segments
-        FROM counts GROUP BY tag)
-    SELECT tag, ('0x' || substr(md5(owner), 1, 8))::bigint % segments AS segment,
-           string_agg(owner || '=' || n || ',', '' ORDER BY n DESC, owner) AS owners
-    FROM counts JOIN sizes USING (tag) GROUP BY 1, 2"""
+    placed AS (
+        SELECT *, (row_number() OVER (PARTITION BY tag ORDER BY n DESC, owner) - 1)
+                  // {owners_per_row} AS page
+        FROM counts)
+    SELECT tag, page, string_agg(owner || '=' || n || ',', '' ORDER BY n DESC, owner) AS owners
+    FROM placed GROUP BY tag, page"""
+
+
+ORACLE["q33_inverted_list"] = pages(10_000)
+ORACLE["q45_inverted_list_pages"] = pages(10)
 
 WHITE_SPACE = " || ".join(
     f"chr({code})"
@@ -304,3 +339,28 @@ ORACLE["q43_movie_file"] = f"""
     SELECT movie_id::varchar AS movie_id, genre
     FROM ({GENRES} WHERE p_type NOT IN ('ECONOMY', 'SMALL'))"""
 ORACLE["q44_photo_file"] = TAGS
+ORACLE["q46_review_layouts"] = ORACLE["q37_review_file"]
+ORACLE["q47_video_file_growth"] = """
+    WITH read AS (
+        SELECT l_partkey::varchar AS video_id,
+               CASE WHEN l_linestatus = 'O' THEN 'none' ELSE l_suppkey::varchar END AS country,
+               CASE WHEN l_linenumber <> 7 THEN l_shipdate::date END AS trending_date,
+               l_returnflag AS category,
+               CASE WHEN l_returnflag <> 'R' THEN trunc(l_quantity)::bigint END AS likes,
+               trunc(l_extendedprice)::bigint AS dislikes
+        FROM lineitem),
+    ordered AS (
+        SELECT *, row_number() OVER seen AS place, lead(likes) OVER seen AS next_likes,
+               lead(dislikes) OVER seen AS next_dislikes, count(*) OVER (
+                   PARTITION BY video_id, country) AS times
+        FROM read
+        WINDOW seen AS (PARTITION BY video_id, country ORDER BY trending_date NULLS LAST,
+                        category, likes NULLS FIRST, dislikes))
+    SELECT video_id, (next_dislikes - dislikes) - (next_likes - likes) AS growth,
+           category, country
+    FROM ordered WHERE place = 1 AND times > 1
+    ORDER BY growth DESC NULLS LAST, video_id, country LIMIT 10"""
+ORACLE["q48_rating_files"] = f"""
+    SELECT genre, round(avg(l_quantity), 6) AS average_rating
+    FROM ({GENRES} WHERE p_type NOT IN ('ECONOMY', 'SMALL')) JOIN lineitem ON movie_id = l_partkey
+    WHERE l_returnflag <> 'R' AND l_linenumber <> 1 GROUP BY genre"""

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -182,20 +184,64 @@ def q22_nearest_sentences(spark, sf_dir):
     return centres.nearest_to_centres(units, groups=sentences.SENTIMENTS)
 
 
-def _word2vec(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return embed.word2vec_vectors(t.written_tokens(spark, sf_dir), sentences.SENTIMENTS)
+BLOCKS = 8
+
+
+def _block_sums(vector: str) -> list:
+    """Sums over eight equal stretches of a vector: enough to tell two vectors apart."""
+    size = F.size(vector) / BLOCKS
+
+    def block(i: int):
+        part = F.slice(vector, (i * size + 1).cast("int"), size.cast("int"))
+        return F.aggregate(part, F.lit(0.0), lambda total, x: total + x).alias(f"s{i}")
+
+    return [block(i) for i in range(BLOCKS)]
 
 
 @query
 def q23_word2vec_vectors(spark, sf_dir):
-    return _word2vec(spark, sf_dir).select("sentiment", "review_id", "pos", "vector")
+    """Length of each sentence's vector, and whether it is the mean of its words' vectors."""
+    tokens = t.written_tokens(spark, sf_dir)
+    vectors, words = embed.word2vec(tokens, sentences.SENTIMENTS)
+    key = ["sentiment", "review_id", "pos"]
+    names = [f"s{i}" for i in range(BLOCKS)]
+    word_sums = words.select("sentiment", "word", *_block_sums("vector"))
+    means = (
+        tokens.select(*key, F.explode("tokens").alias("word"))
+        .join(word_sums, ["sentiment", "word"])
+        .groupBy(*key)
+        .agg(*[F.avg(name).alias(f"mean_{name}") for name in names])
+    )
+    near = [F.abs(F.col(name) - F.col(f"mean_{name}")) <= 1e-6 for name in names]
+    own = vectors.select(*key, F.size("vector").alias("size"), *_block_sums("vector"))
+    return own.join(means, key, "left").select(
+        *key, "size", F.coalesce(reduce(and_, near), F.lit(False)).alias("is_mean")
+    )
 
 
 @query
 def q24_word2vec_nearest(spark, sf_dir):
-    units = centres.unit_vectors(_word2vec(spark, sf_dir))
-    units = scratch.written(units, "word2vec-units")
-    return centres.nearest_to_centres(units, groups=sentences.SENTIMENTS)
+    """Ranks of the ten nearest, and whether distances agree with those of the float vectors."""
+    tokens = t.written_tokens(spark, sf_dir)
+    vectors = embed.word2vec_vectors(tokens, sentences.SENTIMENTS)
+    vectors = scratch.written(vectors, "word2vec-vectors")
+    units = scratch.written(centres.unit_vectors(vectors), "word2vec-units")
+    near = centres.nearest_to_centres(units, groups=sentences.SENTIMENTS)
+    plain = vectors.select("sentiment", "review_id", "pos", F.col("vector").alias("a"))
+    centre = plain.toDF("sentiment", "centre_review_id", "centre_pos", "b")
+    dot = lambda x, y: F.aggregate(
+        F.zip_with(x, y, lambda p, q: p * q), F.lit(0.0), lambda total, p: total + p
+    )
+    cosine = dot("a", "b") / F.sqrt(dot("a", "a") * dot("b", "b"))
+    return (
+        near.join(plain, ["sentiment", "review_id", "pos"])
+        .join(centre, ["sentiment", "centre_review_id", "centre_pos"])
+        .select(
+            "sentiment",
+            "rank",
+            (F.abs(1 - cosine - F.col("distance")) <= 1e-6).alias("agrees"),
+        )
+    )
 
 
 # Trending videos
@@ -282,9 +328,11 @@ def q36_text_round_trip(spark, sf_dir):
 def q37_review_file(spark, sf_dir):
     """Documents written as a gzipped review file with extra columns, and read again."""
     path = scratch.scratch_path(spark, "reviews")
-    lines = t.review_table(spark, sf_dir).write.option("sep", "\t").option("header", True)
+    reviews = t.review_table(spark, sf_dir)
+    columns = reviews.columns
+    lines = reviews.write.option("sep", "\t").option("header", True)
     lines.option("compression", "gzip").csv(path)
-    return readers.read_reviews(spark, path)
+    return readers.read_reviews(spark, path, columns)
 
 
 @query
@@ -314,16 +362,19 @@ def q39_encoded_vectors(spark, sf_dir):
     return embed.long_form(embed.encoded_vectors(every, lambda: load_hash_encoder(size)))
 
 
+def _label_units(spark: SparkSession, sf_dir: str) -> DataFrame:
+    units = centres.unit_vectors(t.labelled_vectors(spark, sf_dir), "label")
+    return scratch.written(units, "label-units")
+
+
 @query
 def q40_label_centres(spark, sf_dir):
-    units = centres.unit_vectors(t.labelled_vectors(spark, sf_dir), "label")
-    return centres.centres(units, "label")
+    return centres.centres(_label_units(spark, sf_dir), "label")
 
 
 @query
 def q41_label_nearest(spark, sf_dir):
-    units = centres.unit_vectors(t.labelled_vectors(spark, sf_dir), "label")
-    return centres.nearest_to_centres(units, "label")
+    return centres.nearest_to_centres(_label_units(spark, sf_dir), "label")
 
 
 # Files of the original layouts, written from the tables and read again
@@ -351,3 +402,47 @@ def q44_photo_file(spark, sf_dir):
     path = scratch.scratch_path(spark, "photos")
     t.photo_lines(spark, sf_dir).write.text(path)
     return tags.tag_owners(readers.read_photos(spark, path))
+
+
+@query
+def q45_inverted_list_pages(spark, sf_dir):
+    return tags.inverted_list(t.photos(spark, sf_dir), owners_per_row=10)
+
+
+@query
+def q46_review_layouts(spark, sf_dir):
+    """Reviews of two sources in files of two layouts, the ids swapped and a column more in
+    the second; each is read by its own."""
+    reviews = t.review_table(spark, sf_dir)
+    swapped = ["review_id", "marketplace", "customer_id", "vine", "product_id", "star_rating",
+               "review_body"]
+    parts = [
+        (reviews.filter("star_rating >= '1'"), reviews.columns),
+        (reviews.filter("not star_rating >= '1'").withColumn("vine", F.lit("N")), swapped),
+    ]
+    read = []
+    for rows, columns in parts:
+        path = scratch.scratch_path(spark, "reviews")
+        rows.select(columns).write.option("sep", "\t").option("header", True).csv(path)
+        read.append(readers.read_reviews(spark, path, columns))
+    return read[0].unionByName(read[1])
+
+
+@query
+def q47_video_file_growth(spark, sf_dir):
+    """Top growth from a video file in which some dates and likes cannot be read."""
+    path = scratch.scratch_path(spark, "videos")
+    t.broken_videos(spark, sf_dir).write.option("header", True).csv(path)
+    return trending.top_growth(readers.read_videos(spark, path))
+
+
+@query
+def q48_rating_files(spark, sf_dir):
+    """Average rating per genre from a movie file and a rating file with bad lines."""
+    movies, rated = (scratch.scratch_path(spark, name) for name in ("movies", "ratings"))
+    t.movie_lines(spark, sf_dir).write.text(movies)
+    t.item_rating_lines(spark, sf_dir).write.text(rated)
+    average = ratings.average_rating_per_genre(
+        readers.read_movies(spark, movies), readers.read_ratings(spark, rated)
+    )
+    return average.select("genre", rounded(F.col("average_rating"), 6).alias("average_rating"))

@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions import dates
-from tidemark.operators import cascade, profile, sentences
-from tidemark.sources import readers, scratch
+from tidemark.operators import cascade, embed, profile, sentences
+from tidemark.sources import readers
 
 PRODUCT = "en"
 VECTOR_SIZE = 64
@@ -17,11 +17,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    df = table(spark, sf_dir, name)
-    return scratch.spread(df, df)
-
-
 def reviews(spark: SparkSession, sf_dir: str, customers: int, product: str) -> DataFrame:
     """Documents as reviews; the text length, folded, stands in for the customer."""
     return table(spark, sf_dir, "documents").select(
@@ -62,8 +57,9 @@ def classed_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def classed_sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dealt out by review, since each sentence is much more work than reading it."""
     every = sentences.explode_sentences(classed_reviews(spark, sf_dir))
-    return scratch.spread(every, table(spark, sf_dir, "documents"))
+    return every.hint("rebalance", "review_id")
 
 
 def tokenised(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -72,8 +68,7 @@ def tokenised(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def written_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokenised sentences as a table, since fitting a model reads them several times."""
-    documents = table(spark, sf_dir, "documents")
-    return scratch.written(scratch.spread(tokenised(spark, sf_dir), documents), "tokens")
+    return embed.by_class(tokenised(spark, sf_dir))
 
 
 def labelled_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -170,15 +165,46 @@ def video_table(spark: SparkSession, sf_dir: str) -> DataFrame:
         "video_error_or_removed": F.lit(False),
         "country": F.when(F.col("l_linestatus") != "O", F.col("l_suppkey")),
     }
-    return spread_table(spark, sf_dir, "lineitem").select(
+    return table(spark, sf_dir, "lineitem").select(
         *[columns[name].alias(name) for name in readers.VIDEO_FIELDS]
     )
 
 
+def broken_videos(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same file with dates that open lines broke and likes that returned items lost."""
+    videos = video_table(spark, sf_dir)
+    return videos.withColumns(
+        {
+            "trending_date": F.when(
+                F.col("category_id") == 7, F.concat(F.lit("31."), "trending_date")
+            ).otherwise(F.col("trending_date")),
+            "likes": F.when(F.col("category") == "R", F.lit("many")).otherwise(
+                F.col("likes").cast("string")
+            ),
+            "country": F.coalesce(F.col("country").cast("string"), F.lit("none")),
+        }
+    )
+
+
+def item_rating_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line items as lines of user, movie, rating, time; the rating of returned ones is no
+    number, and first lines have a field too many."""
+    rating = F.when(F.col("l_returnflag") == "R", "good").otherwise(
+        F.col("l_quantity").cast("string")
+    )
+    extra = F.when(F.col("l_linenumber") == 1, "again")
+    return table(spark, sf_dir, "lineitem").select(
+        F.concat_ws(
+            ",", F.col("l_orderkey").cast("string"), F.col("l_partkey").cast("string"), rating,
+            F.date_format("l_shipdate", "yyyyMMdd"), extra,
+        ).alias("value")
+    )
+
+
 def review_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents in columns of a review file, one line each; some ratings are no number."""
     stars = F.when(F.col("source") == "src0", "none").otherwise(F.substring("source", 4, 2))
-    return spread_table(spark, sf_dir, "documents").select(
+    return table(spark, sf_dir, "documents").select(
         F.lit("US").alias("marketplace"),
         (F.col("n_chars") % 50).alias("customer_id"),
         F.col("doc_id").alias("review_id"),

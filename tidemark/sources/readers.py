@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,6 +34,23 @@ VIDEO_TYPES = {
     "ratings_disabled": "boolean",
     "video_error_or_removed": "boolean",
 }
+REVIEW_LAYOUT = [
+    "marketplace",
+    "customer_id",
+    "review_id",
+    "product_id",
+    "product_parent",
+    "product_title",
+    "product_category",
+    "star_rating",
+    "helpful_votes",
+    "total_votes",
+    "vine",
+    "verified_purchase",
+    "review_headline",
+    "review_body",
+    "review_date",
+]
 REVIEW_FIELDS = ["customer_id", "review_id", "product_id", "star_rating", "review_body"]
 MOVIE_SCHEMA = "movie_id string, title string, genres string"
 PHOTO_SCHEMA = (
@@ -73,18 +92,32 @@ def read_videos(
     return parse_videos(spark.read.text(path), "value", date_format)
 
 
-def read_reviews(spark: SparkSession, path: str, rebalance: bool = False) -> DataFrame:
-    """Tab-separated reviews with a header, plain or gzipped.
+def read_reviews(
+    spark: SparkSession,
+    path: str,
+    columns: Sequence[str] = REVIEW_LAYOUT,
+    rebalance: bool = False,
+) -> DataFrame:
+    """Tab-separated reviews with a header, plain or gzipped, of which five columns are kept.
 
-    Columns are found by header name and only the used ones are kept. A gzipped file is
-    read by one task however large it is; ``rebalance`` deals its rows out to the cluster,
-    which pays before work on the texts and not before a mere count.
+    ``columns`` are those of the files, in order. Every file's header is compared with them,
+    and one that differs fails the job; read files of another layout by themselves. Nothing
+    is read before the result is. A gzipped file is read by one task however large it is;
+    ``rebalance`` deals its rows out by review, which pays before work on the texts and not
+    before a mere count.
     """
-    raw = spark.read.option("header", True).option("sep", "\t").csv(path)
+    schema = ", ".join(f"`{name}` string" for name in columns)
+    raw = (
+        spark.read.schema(schema)
+        .option("header", True)
+        .option("enforceSchema", False)
+        .option("sep", "\t")
+        .csv(path)
+    )
     reviews = raw.select(*REVIEW_FIELDS).withColumn(
         "star_rating", F.col("star_rating").try_cast("int")
     )
-    return reviews.hint("rebalance") if rebalance else reviews
+    return reviews.hint("rebalance", "review_id") if rebalance else reviews
 
 
 def read_movies(spark: SparkSession, path: str, genre_sep: str = "|") -> DataFrame:

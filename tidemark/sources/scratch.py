@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import warnings
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -18,26 +20,33 @@ def shared_folder(spark: SparkSession) -> str:
         folder = context.getCheckpointDir()
     if not folder:
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
+    if folder.startswith("file:") and not context.master.startswith("local"):
+        warnings.warn(f"{folder} must be a mount that all executors share", stacklevel=2)
     return folder.rstrip("/")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A path in the shared folder that no other run uses, under the application's name
     so that all it left can be removed at once."""
-    run = spark.conf.get("spark.app.id", "session")
-    return f"{shared_folder(spark)}/{run}/{name}-{uuid.uuid4().hex}"
+    return f"{_run_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+def _run_folder(spark: SparkSession) -> str:
+    return f"{shared_folder(spark)}/{spark.conf.get('spark.app.id', 'session')}"
+
+
+def written(
+    df: DataFrame, name: str, partition_by: Sequence[str] | None = None
+) -> DataFrame:
     """Write the rows once and read them back: later passes start from the table, also
-    after executors are lost, and read only the columns they need."""
+    after executors are lost, and read only the columns they need. The rows are made when
+    this is called; ``clear`` removes them."""
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.partitionBy(*partition_by or []).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def spread(df: DataFrame, source: DataFrame) -> DataFrame:
-    """Deal the rows out to all cores before heavy per-row work, if the table they come from
-    has fewer files than there are cores. A large table has more and is left where it is."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if len(source.inputFiles()) < cores else df
+def clear(spark: SparkSession) -> None:
+    """Remove every table this application has written, once its results have been read."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(_run_folder(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
