@@ -409,14 +409,19 @@ def cluster(
     sets = scratch.written(candidates(documents, info, size, percent), "shingles")
     found = scratch.written(links(sets, percent, leaf, pivots), "region-links")
     groups = components(found)
-    first = info.filter("key is not null").groupBy("key").agg(F.min("doc_id").alias("first"))
+    first = scratch.written(
+        info.filter("key is not null").groupBy("key").agg(F.min("doc_id").alias("first")),
+        "first-copies",
+    )
     named = sets.select("node", "key").join(groups, "node").join(first, "key")
     least = named.groupBy("component").agg(F.min("first").alias("least"))
-    joined = (
-        named.join(least, "component").groupBy("key").agg(F.min("least").alias("least"))
-    )
-    of_key = first.join(joined, "key", "left").select(
-        "key", F.coalesce("least", "first").alias("component_id")
+    joined = named.join(least, "component").groupBy("key").agg(F.min("least").alias("least"))
+    # as a table, so that the last join shuffles both sides and can split a key of many copies
+    of_key = scratch.written(
+        first.join(joined, "key", "left").select(
+            "key", F.coalesce("least", "first").alias("component_id")
+        ),
+        "components",
     )
     return info.join(of_key, "key", "left").select(
         "doc_id",
