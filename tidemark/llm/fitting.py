@@ -77,7 +77,7 @@ def fit(
         np.savez(file, **train(texts, n_chars, np.array(labels, np.float32)))
         yield pa.RecordBatch.from_pydict({"model": pa.array([file.getvalue()], pa.binary())})
 
-    ordered = rows.coalesce(1).sortWithinPartitions("doc_id", "text", "n_chars")
+    ordered = rows.repartition(1).sortWithinPartitions("doc_id", "text", "n_chars")
     found = ordered.mapInArrow(run, "model binary").collect()
     if not found:  # an empty table has no partition to run in
         return train([], [], np.zeros(0, np.float32))

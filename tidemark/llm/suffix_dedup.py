@@ -286,7 +286,9 @@ def _cleaned(batches: Iterable[pa.RecordBatch], length: int) -> Iterator[tuple[p
         yield block, out
 
 
-def _with_runs(documents: DataFrame, length: int, gram: int, often: int) -> DataFrame:
+def _with_runs(
+    documents: DataFrame, length: int, gram: int, often: int, block_bytes: int
+) -> DataFrame:
     """doc_id, text, ``copied`` and the repeated places of each document.
 
     The texts are moved once, into a table laid out by text and id; what is found about them
@@ -328,7 +330,9 @@ def _with_runs(documents: DataFrame, length: int, gram: int, often: int) -> Data
     members = texts.join(first, ["digest", "rid"]).select(
         F.col("node").alias("id"), "text"
     )
-    repeated = exchange.shared(members, maker, listed=True, often=often)
+    repeated = exchange.shared(
+        members, maker, listed=True, often=often, block_bytes=block_bytes
+    )
     repeated = repeated.filter("n_shared > 0").select(F.col("id").alias("node"), "shared")
     wanted = scratch.written(first.join(repeated, "node"), "repeated-anchors")
     fragments = (
@@ -353,7 +357,8 @@ def _with_runs(documents: DataFrame, length: int, gram: int, often: int) -> Data
 
 
 def find(
-    documents: DataFrame, length: int = LENGTH, gram: int = GRAM, often: int = OFTEN
+    documents: DataFrame, length: int = LENGTH, gram: int = GRAM, often: int = OFTEN,
+    block_bytes: int = base.BLOCK_BYTES,
 ) -> DataFrame:
     """Per row: doc_id, bytes of the text, bytes removed, maximal removed runs, the SHA-256 of
     what is left, and ``removed``, the runs as starts and ends (exclusive).
@@ -384,4 +389,4 @@ def find(
                 }
             )
 
-    return _with_runs(documents, length, gram, often).mapInArrow(run, schema)
+    return _with_runs(documents, length, gram, often, block_bytes).mapInArrow(run, schema)
