@@ -26,9 +26,14 @@ def crc_remainder(column: str, divisor: int) -> Column:
 def blocks(
     batches: Iterable[pa.RecordBatch], text: str = "text", limit: int = BLOCK_BYTES
 ) -> Iterator[pa.Table]:
-    """Rows of Arrow batches in blocks of about so many bytes of text, at least a row each."""
+    """Rows of Arrow batches in blocks of about so many bytes of text (or of the numbers of a
+    list column), at least a row each."""
     for batch in batches:
-        sizes = pc.fill_null(pc.binary_length(batch.column(text)), 0)
+        column = batch.column(text)
+        if pa.types.is_list(column.type):
+            sizes = pc.multiply(pc.fill_null(pc.list_value_length(column), 0), 8)
+        else:
+            sizes = pc.fill_null(pc.binary_length(column), 0)
         first, total = 0, 0
         for row, size in enumerate(sizes.to_pylist()):
             if row > first and total + size > limit:

@@ -23,10 +23,16 @@ ASKED = (
     "bucket int, block string, hashes binary, owners binary, ids array<bigint>, "
     "keys array<string>"
 )
-ANSWERED = "block string, totals binary, shared binary, listed binary, ids array<bigint>, keys array<string>"
+ANSWERED = (
+    "block string, totals binary, shared binary, listed binary, holders binary, "
+    "ids array<bigint>, keys array<string>"
+)
 MERGED = "id bigint, key string, n bigint, n_shared bigint, shared array<bigint>"
-#: Set in a listed hash that occurs more than the limit of ``often``.
+#: A listed hash is its upper 48 bits, above them the bits that its count takes, and this one
+#: if it occurs more than the limit of ``often``.
 OFTEN = 1 << 62
+COUNT_SHIFT = 56
+HASH = (1 << 48) - 1
 KINDS = {
     "int": pa.int32(), "string": pa.string(), "binary": pa.binary(), "bigint": pa.int64(),
     "array<bigint>": pa.list_(pa.int64()), "array<string>": pa.list_(pa.string()),
@@ -71,26 +77,45 @@ def occurrences(hashes: np.ndarray) -> np.ndarray:
     return out
 
 
+Hashes = list[tuple[str | None, np.ndarray]]
+
+
+def of_texts(
+    maker: Callable[[], Callable[[bytes], tuple[str | None, np.ndarray]]],
+) -> Callable[[], Callable[[pa.Table], Hashes]]:
+    """Keys and hashes of blocks from those of a text."""
+
+    def make() -> Callable[[pa.Table], Hashes]:
+        of_text = maker()
+        return lambda block: [of_text(text) for text in base.texts_as_bytes(block)]
+
+    return make
+
+
 def shared(
     rows: DataFrame,
-    hashes_of: Callable[[], Callable[[bytes], tuple[str | None, np.ndarray]]],
+    hashes_of: Callable[[], Callable[[pa.Table], Hashes]],
     listed: bool = False,
     often: int = 1 << 62,
     block_bytes: int = base.BLOCK_BYTES,
 ) -> DataFrame:
-    """For rows of id and text: the id, a key, how many hashes the text has, how many of them
-    occur more than once in the table, and these (their upper 48 bits) if they are ``listed``.
+    """For rows of id and text (or another column): the id, a key, how many hashes the text
+    has, how many of them occur more than once in the table, and these if they are
+    ``listed``, from rare to frequent.
 
-    ``hashes_of`` makes, once a task, the function that gives a text's key and hashes.
+    ``hashes_of`` makes, once a task, the function that gives keys and hashes of a block of
+    rows. Blocks are named by task and place, so the rows must come in the same order if a
+    task is run again, as those of a table do.
     """
+    column = next(name for name in rows.columns if name != "id")
     buckets = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
     def ask(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        of_text = hashes_of()
+        of_block = hashes_of()
         task = TaskContext.get().partitionId()
         limits = (np.arange(1, buckets, dtype=object) * (1 << 64) // buckets).astype(np.uint64)
-        for block_no, block in enumerate(base.blocks(batches, limit=block_bytes)):
-            found = [of_text(text) for text in base.texts_as_bytes(block)]
+        for block_no, block in enumerate(base.blocks(batches, column, block_bytes)):
+            found = of_block(block)
             hashes = np.concatenate([h for _, h in found])
             owners = np.repeat(np.arange(len(found), dtype=np.uint32), [len(h) for _, h in found])
             order = np.argsort(hashes)
@@ -122,14 +147,17 @@ def shared(
             owners = np.frombuffer(p["owners"], np.uint32 if wide else np.uint16)
             n = counts[at : at + len(own)]
             at += len(own)
-            chosen = own[n > 1] + np.where(n[n > 1] > often, np.uint64(OFTEN), np.uint64(0))
-            pairs = np.stack([owners[n > 1].astype(np.uint64), chosen])
+            times = n[n > 1]
+            bits = np.frexp(times.astype(np.float64))[1].astype(np.uint64)
+            chosen = own[n > 1] | (bits << np.uint64(COUNT_SHIFT))
+            chosen |= np.where(times > often, np.uint64(OFTEN), np.uint64(0))
             out.append(
                 {
                     "block": p["block"],
                     "totals": np.bincount(owners).astype(np.uint32).tobytes(),
                     "shared": np.bincount(owners[n > 1]).astype(np.uint32).tobytes(),
-                    "listed": pairs.tobytes() if listed else b"",
+                    "listed": chosen.tobytes() if listed else b"",
+                    "holders": owners[n > 1].astype(np.uint32).tobytes() if listed else b"",
                     "ids": p["ids"],
                     "keys": p["keys"],
                 }
@@ -147,10 +175,10 @@ def shared(
                 total[: len(counts)] += counts
         lists = pa.nulls(n, pa.list_(pa.int64()))
         if listed:
-            pairs = [np.frombuffer(p["listed"], np.uint64).reshape(2, -1) for p in parts]
-            owners, hashes = np.concatenate(pairs, axis=1)
-            order = np.argsort(owners, kind="stable")
-            offsets = np.searchsorted(owners[order], np.arange(n + 1, dtype=np.uint64))
+            hashes = np.concatenate([np.frombuffer(p["listed"], np.uint64) for p in parts])
+            owners = np.concatenate([np.frombuffer(p["holders"], np.uint32) for p in parts])
+            order = np.lexsort((hashes, owners))
+            offsets = np.searchsorted(owners[order], np.arange(n + 1, dtype=np.uint32))
             lists = pa.ListArray.from_arrays(
                 pa.array(offsets.astype(np.int32)), pa.array(hashes[order].view(np.int64))
             )
@@ -162,6 +190,6 @@ def shared(
             schema=arrow_schema(MERGED),
         )
 
-    asked = rows.select(F.col("id").cast("bigint").alias("id"), "text").mapInArrow(ask, ASKED)
+    asked = rows.select(F.col("id").cast("bigint").alias("id"), column).mapInArrow(ask, ASKED)
     answered = asked.groupBy("bucket").applyInArrow(answer, ANSWERED)
     return answered.groupBy("block").applyInArrow(merge, MERGED)

@@ -93,7 +93,8 @@ def counted(documents: DataFrame, size: int, block_bytes: int) -> DataFrame:
         return of_text
 
     rows = documents.select(F.col("doc_id").cast("bigint").alias("id"), "text")
-    return exchange.shared(rows, maker, block_bytes=block_bytes).select(
+    counts = exchange.shared(rows, exchange.of_texts(maker), block_bytes=block_bytes)
+    return counts.select(
         F.col("id").alias("doc_id"), "key", F.col("n").alias("n_shingles"), "n_shared"
     )
 
@@ -146,31 +147,42 @@ def candidates(documents: DataFrame, info: DataFrame, size: int, percent: int) -
     )
 
 
-def regions(sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs of region (the pivot's node) and node. Linked nodes are in a region together."""
-    held = sets.select("node", "n", F.explode("hashes").alias("hash"))
-    often = held.groupBy("hash").agg(F.count("*").alias("df")).filter("df > 1")
-    ranked = (
-        held.join(often, "hash")
-        .groupBy("node", "n")
-        .agg(F.array_sort(F.collect_list(F.struct("df", "hash"))).alias("ranked"))
-    )
+def regions(sets: DataFrame, percent: int, block_bytes: int = base.BLOCK_BYTES) -> DataFrame:
+    """Pairs of region (the pivot's node) and node. Linked nodes are in a region together.
+
+    The order from rare to frequent is that of the listed hashes: by the bits that the count
+    takes, then by the hash. Shingles that agree in the 48 bits listed may propose a region;
+    they link nothing.
+    """
+
+    def maker():
+        return lambda block: [(None, found) for found in _arrays(block)]
+
+    rows = sets.select(F.col("node").alias("id"), "hashes")
+    ranked = exchange.shared(rows, maker, listed=True, block_bytes=block_bytes)
     # shingles of one document alone are rarest: they come first and meet nobody
-    alone = F.col("n") - F.size("ranked")
+    alone = F.col("n") - F.col("n_shared")
     prefix = F.col("n") - least_shared_by_larger_sql("n", percent) + 1 - alone
     small = F.col("n") - least_shared_by_smaller_sql("n", percent) + 1 - alone
     first = (
-        ranked.filter(prefix > 0)
-        .select("node", small.alias("small"), F.posexplode(F.slice("ranked", F.lit(1), prefix)))
-        .select("node", F.col("col.hash").alias("hash"), (F.col("pos") < F.col("small")).alias("small"))
+        ranked.withColumn("prefix", prefix.cast("int"))
+        .filter("prefix > 0")
+        .select(
+            F.col("id").alias("node"),
+            small.alias("small"),
+            F.posexplode(F.slice("shared", F.lit(1), F.col("prefix"))).alias("pos", "hash"),
+        )
+        .select("node", "hash", (F.col("pos") < F.col("small")).alias("small"))
     )
+    first = scratch.written(first, "first-shingles")
     place = F.struct(F.xxhash64("node").alias("place"), "node")
     elected = (
         first.groupBy("hash")
-        .agg(F.min(place)["node"].alias("region"), F.count("*").alias("n"), F.max("small").alias("any"))
-        .filter("n > 1 and any")
+        .agg(F.min(place)["node"].alias("region"), F.min("node").alias("least"),
+             F.max("node").alias("most"), F.max("small").alias("any"))
+        .filter("least != most and any")
         .select("hash", "region")
-    )
+    )
     return first.join(elected, "hash").select("region", "node").distinct()
 
 
@@ -358,11 +370,14 @@ def _in_block_pairs(flat: DataFrame, leaf: int) -> DataFrame:
     )
 
 
-def links(sets: DataFrame, percent: int, leaf: int = LEAF, pivots: int = PIVOTS) -> DataFrame:
+def links(
+    sets: DataFrame, percent: int, leaf: int = LEAF, pivots: int = PIVOTS,
+    block_bytes: int = base.BLOCK_BYTES,
+) -> DataFrame:
     """Links that connect all that is connected: u and v, nodes of the sets."""
     spark = sets.sparkSession
     members = scratch.written(
-        regions(sets, percent).join(sets.select("node", "n", "hashes"), "node").select(
+        regions(sets, percent, block_bytes).join(sets.select("node", "n", "hashes"), "node").select(
             F.col("region").cast("string").alias("region"), F.col("region").alias("pivot"),
             "node", "n", "hashes",
         ),
@@ -407,7 +422,7 @@ def cluster(
     """
     info = scratch.written(counted(documents, size, block_bytes), "shingle-counts")
     sets = scratch.written(candidates(documents, info, size, percent), "shingles")
-    found = scratch.written(links(sets, percent, leaf, pivots), "region-links")
+    found = scratch.written(links(sets, percent, leaf, pivots, block_bytes), "region-links")
     groups = components(found)
     first = scratch.written(
         info.filter("key is not null").groupBy("key").agg(F.min("doc_id").alias("first")),

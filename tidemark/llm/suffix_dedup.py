@@ -189,8 +189,8 @@ def _fragments(parts: int, length: int, gram: int):
                 code, anchor, first, last = anchored(text, length, gram)
                 short = (code >> np.uint64(16)).astype(np.int64)
                 listed = np.array(shared, np.int64)
-                plain = listed & (exchange.OFTEN - 1)
-                hot = np.isin(short, plain[listed != plain])
+                plain = listed & exchange.HASH
+                hot = np.isin(short, plain[listed >= exchange.OFTEN])
                 for i in np.flatnonzero(np.isin(short, plain)):
                     if hot[i]:  # window by window
                         pieces = [(p, p, 0, None) for p in range(first[i], last[i] + 1)]
@@ -331,7 +331,7 @@ def _with_runs(
         F.col("node").alias("id"), "text"
     )
     repeated = exchange.shared(
-        members, maker, listed=True, often=often, block_bytes=block_bytes
+        members, exchange.of_texts(maker), listed=True, often=often, block_bytes=block_bytes
     )
     repeated = repeated.filter("n_shared > 0").select(F.col("id").alias("node"), "shared")
     wanted = scratch.written(first.join(repeated, "node"), "repeated-anchors")
