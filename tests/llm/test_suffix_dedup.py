@@ -5,7 +5,8 @@ from collections import Counter
 import numpy as np
 import pytest
 
-from tidemark.llm import queries, suffix_dedup
+from tests.compare import connect, oracle_rows, spark_rows
+from tidemark.llm import oracle, queries, suffix_dedup
 
 SCHEMA = "doc_id bigint, text string, digest string, node string, copies int, runs int"
 
@@ -76,10 +77,9 @@ def test_removed_runs_are_given(spark):
     assert {r.doc_id: r.removed for r in found} == {1: [5, 35], 2: []}
 
 
-def test_query_equals_brute_force(spark, sf_dir):
-    rows = [tuple(r) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").collect()]
-    found = queries.op8_suffix_array_dedup(spark, sf_dir).collect()
-    assert sorted((tuple(r) for r in found), key=repr) == brute(rows, 200)
+def test_query_equals_sql(spark, sf_dir):
+    _, rows = spark_rows(queries.op8_suffix_array_dedup(spark, sf_dir))
+    assert rows == oracle_rows(connect(sf_dir), oracle.ORACLE["op8_suffix_array_dedup"])[1]
 
 
 def test_long_texts_over_several_stretches(monkeypatch):

@@ -158,5 +158,29 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
        coalesce(n_items, 0) AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
        coalesce(n_hit, 0) > 0 AS contaminated
 FROM docs LEFT JOIN hits USING (r) LEFT JOIN named USING (r)
+""",
+    "op8_suffix_array_dedup": r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS r, doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+places AS (
+  SELECT r, h, unnest(range(0, length(h) // 2 - 199)) AS p FROM docs WHERE length(h) >= 400),
+windows AS (SELECT r, p, md5(substr(h, 2 * p + 1, 400)) AS w FROM places),
+twice AS (SELECT w FROM windows GROUP BY w HAVING count(*) > 1),
+starts AS (SELECT r, p FROM windows JOIN twice USING (w)),
+runs AS (
+  SELECT r, p, sum(CAST(p > coalesce(before + 200, -1) AS INTEGER)) OVER (
+           PARTITION BY r ORDER BY p ROWS UNBOUNDED PRECEDING) AS run
+  FROM (SELECT r, p, lag(p) OVER (PARTITION BY r ORDER BY p) AS before FROM starts)),
+spans AS (SELECT r, min(p) AS b, max(p) + 200 AS e FROM runs GROUP BY r, run),
+gaps AS (
+  SELECT r, e AS b, lead(b, 1, 1000000000) OVER (PARTITION BY r ORDER BY b) AS e FROM spans
+  UNION ALL SELECT r, 0, min(b) FROM spans GROUP BY r),
+kept AS (
+  SELECT r, string_agg(substr(h, 2 * b + 1, 2 * (e - b)), '' ORDER BY b) AS k
+  FROM gaps JOIN docs USING (r) GROUP BY r),
+lost AS (SELECT r, sum(e - b) AS n, count(*) AS m FROM spans GROUP BY r)
+SELECT doc_id, CAST(length(h) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(n, 0) AS BIGINT) AS n_removed,
+       CAST(coalesce(m, 0) AS BIGINT) AS n_spans, sha256(unhex(coalesce(k, h))) AS kept_sha256
+FROM docs LEFT JOIN lost USING (r) LEFT JOIN kept USING (r)
 """,
 }
