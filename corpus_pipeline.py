@@ -26,6 +26,11 @@ def line_deduplication(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     return line_dedup.remove(docs)
 
 
+def line_runs(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, without the repeated runs of lines that no whole chunk covers."""
+    return line_dedup.remove_runs(docs)
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies."""
     return jaccard_join.keep_one(docs)
@@ -44,6 +49,7 @@ def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 STAGES = [
     ("quality classifier", quality_classifier),
     ("line dedup", line_deduplication),
+    ("line runs", line_runs),
     ("n-gram Jaccard join", near_duplicates),
     ("benchmark decontamination", benchmark_decontamination),
     ("best-fit packing", best_fit_packing),

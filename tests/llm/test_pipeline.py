@@ -12,6 +12,7 @@ import corpus_pipeline
 from tests.llm.test_decontaminate import brute as found_by_brute_force
 from tests.llm.test_jaccard_join import brute as clustered_by_brute_force
 from tests.llm.test_line_dedup import brute as cleaned_by_brute_force
+from tests.llm.test_line_dedup import runs_by_brute_force
 from tests.llm.test_packing import checked
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -108,3 +109,14 @@ def test_odd_tables(spark, sf_dir, tmp_path):
             rows = given.collect()
             if name != "best-fit packing":
                 assert given.columns == frame.columns and len(rows) <= frame.count()
+
+
+def test_no_run_of_lines_is_left_twice(steps):
+    """Counted from the lines alone."""
+    got, kept = steps["line runs"]
+    before = {r.doc_id: (r.text, r.n_chars) for r in got}
+    expected = {
+        r[0]: (r[3], len(r[3])) if r[2] else before[r[0]] for r in runs_by_brute_force(got)
+    }
+    assert {r.doc_id: (r.text, r.n_chars) for r in kept} == expected
+    assert any(r.text != before[r.doc_id][0] for r in kept)

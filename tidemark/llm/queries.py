@@ -26,6 +26,10 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.find(base.table(spark, sf_dir, "documents"))
 
 
+def op1_line_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.find_runs(base.table(spark, sf_dir, "documents"))
+
+
 def op2_spotsigs_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = spotsigs.compare_with_next(base.table(spark, sf_dir, "documents"))
     return found.drop("n_signatures")
