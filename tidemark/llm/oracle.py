@@ -17,6 +17,32 @@ _FOUND = " UNION ALL ".join(
     for i, (kind, pattern) in enumerate(_KINDS.items())
 )
 
+
+def _either_case(words: str) -> str:
+    """The pattern with each letter in either case."""
+    return "".join(f"[{c.upper()}{c}]" if c.isalpha() else c for c in words)
+
+
+_VALUE = r"""["'']?\x20*[:=]\x20*["'']?"""
+_SECRETS = {
+    "assign": rf"({_either_case('password|passwd|secret|token|api_?key')}){_VALUE}([A-Za-z0-9+/_.=-]+)",
+    "access": "AKIA[A-Z0-9]+",
+    "hex": "[0-9a-f]+",
+    "user": "("
+    + _either_case("username|user|login|account|client_?id|access_?key_?id")
+    + rf"){_VALUE}([A-Za-z0-9@+_.-]+)",
+    "blob": "[A-Za-z0-9+/_=-]+",
+    "url": "(?:https?|ftp|ssh|s3|postgresql|mysql|mongodb|redis|amqp)://[A-Za-z0-9:/_.@?=&%+~-]+",
+    "host": rf"({_either_case('hostname|host|endpoint|server')}){_VALUE}([A-Za-z0-9:/_.-]+)",
+    "break": r"\n[\x20\t]*\n",
+}
+_SECRETS_FOUND = " UNION ALL ".join(
+    f"""SELECT r, {i} AS o, '{kind}' AS kind, regexp_extract_all(t, '{pattern}') AS f,
+        {f"regexp_extract_all(t, '{pattern}', 2)" if _VALUE in pattern else "NULL::VARCHAR[]"} AS v,
+        string_split_regex(t, '{pattern}') AS g FROM docs"""
+    for i, (kind, pattern) in enumerate(_SECRETS.items())
+)
+
 ORACLE = {
     "op1_line_dedup": r"""
 WITH docs AS (
@@ -182,5 +208,101 @@ lost AS (SELECT r, sum(e - b) AS n, count(*) AS m FROM spans GROUP BY r)
 SELECT doc_id, CAST(length(h) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(n, 0) AS BIGINT) AS n_removed,
        CAST(coalesce(m, 0) AS BIGINT) AS n_spans, sha256(unhex(coalesce(k, h))) AS kept_sha256
 FROM docs LEFT JOIN lost USING (r) LEFT JOIN kept USING (r)
+""",
+    "op11_secret_scan": rf"""
+WITH docs AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents),
+found AS ({_SECRETS_FOUND}),
+placed AS (
+  SELECT r, o, kind, unnest(f) AS m, unnest(coalesce(v, f)) AS v,
+         unnest([list_sum(list_transform(g[: i], lambda x: length(x)))
+                 + coalesce(list_sum(list_transform(f[: i - 1], lambda x: length(x))), 0)
+                 FOR i IN range(1, len(f) + 1)]) AS s
+  FROM found WHERE len(f) > 0),
+spans AS (
+  SELECT r, o, kind, s, s + length(m) AS e,
+         CASE WHEN kind IN ('access', 'user') THEN 'who' WHEN kind IN ('url', 'host') THEN 'where'
+              WHEN kind = 'break' THEN NULL ELSE 'by' END AS role
+  FROM placed
+  WHERE CASE kind WHEN 'assign' THEN length(v) >= 6 WHEN 'access' THEN length(m) >= 20
+    WHEN 'hex' THEN length(m) >= 24 WHEN 'user' THEN length(v) >= 3 WHEN 'host' THEN length(v) >= 3
+    WHEN 'blob' THEN length(m) >= 16 AND regexp_matches(m, '[a-z]') AND regexp_matches(m, '[A-Z]')
+         AND regexp_matches(m, '[0-9]')
+    ELSE true END),
+scoped AS (
+  SELECT *, count(CASE WHEN kind = 'break' THEN 1 END) OVER (PARTITION BY r ORDER BY s, o) AS scope
+  FROM spans),
+parts AS (
+  SELECT * FROM scoped a WHERE kind <> 'break' AND NOT (kind = 'blob' AND EXISTS (
+    SELECT 1 FROM spans b WHERE a.r = b.r AND b.kind NOT IN ('blob', 'break')
+       AND b.s < a.e AND a.s < b.e))),
+linked AS (
+  SELECT DISTINCT a.r, a.o, a.s FROM parts a JOIN parts b ON a.r = b.r AND a.scope = b.scope
+     AND (a.role = 'by') <> (b.role = 'by') AND greatest(b.s - a.e, a.s - b.e) <= 200),
+kept AS (
+  SELECT r, o, kind, s, kind || ':' || s || ':' || e AS w FROM parts
+  WHERE o < 3 OR (r, o, s) IN (SELECT (r, o, s) FROM linked)),
+lists AS (
+  SELECT r, count(*) FILTER (kind = 'assign') AS n_assign,
+         count(*) FILTER (kind = 'access') AS n_access, count(*) FILTER (kind = 'hex') AS n_hex,
+         string_agg(w, ',' ORDER BY s, o) FILTER (o < 3) AS base,
+         string_agg(w, ',' ORDER BY s, o) AS spans
+  FROM kept GROUP BY r)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access,
+       coalesce(n_hex, 0) AS n_hex, sha256(coalesce(base, '')) AS base_sha256,
+       coalesce(spans, '') AS spans
+FROM docs LEFT JOIN lists USING (r)
+""",
+    "op12_importance_resampling": r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS r, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+           'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM documents),
+items AS (
+  SELECT unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+           'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS word
+  FROM benchmark),
+uses AS (
+  SELECT r, word, count(*) AS n FROM (SELECT r, unnest(w) AS word FROM docs) GROUP BY r, word),
+wanted AS (SELECT word, count(*) AS n FROM items GROUP BY word),
+steps AS (
+  SELECT [list_reduce([n] || range(8), lambda c, i:
+            CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)
+          FOR n IN range(256)] AS step),
+bucket AS (
+  SELECT word, xor(list_reduce(
+           [4294967295] || [CAST('0x' || substr(h, 2 * i + 1, 2) AS BIGINT)
+                            FOR i IN range(length(h) // 2)],
+           lambda c, b: xor(c >> 8, step[(xor(c, b) & 255) + 1])), 4294967295) % 10000 AS b
+  FROM (SELECT word, hex(encode(word)) AS h FROM
+        (SELECT word FROM uses UNION SELECT word FROM wanted)), steps),
+corpus AS (SELECT b, sum(n) AS s FROM uses JOIN bucket USING (word) GROUP BY b),
+target AS (SELECT b, sum(n) AS t FROM wanted JOIN bucket USING (word) GROUP BY b),
+totals AS (
+  SELECT CAST((SELECT coalesce(sum(s), 0) FROM corpus) AS DOUBLE) AS all_s,
+         CAST((SELECT coalesce(sum(t), 0) FROM target) AS DOUBLE) AS all_t),
+gain AS (
+  SELECT b, CAST(floor(1000 * ln((CAST(coalesce(t, 0) AS DOUBLE) + 1) * (all_s + 10000)
+                                 / ((CAST(s AS DOUBLE) + 1) * (all_t + 10000)))) AS BIGINT) AS g
+  FROM corpus LEFT JOIN target USING (b), totals),
+weights AS (
+  SELECT r, sum(n) AS n, CAST(sum(n * g) AS BIGINT) AS total
+  FROM uses JOIN bucket USING (word) JOIN gain USING (b) GROUP BY r),
+scored AS (
+  SELECT r, doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_features,
+         CAST(CASE WHEN n IS NULL THEN 0
+              ELSE (total - ((total % n) + n) % n) // n END AS BIGINT) AS weight,
+         CAST('0x' || substr(sha256('2024:' || doc_id), 1, 8) AS BIGINT) AS h
+  FROM docs LEFT JOIN weights USING (r)),
+noisy AS (
+  SELECT *, weight + CAST(floor(-1000 * ln(-ln((h + 0.5::DOUBLE) / 4294967296::DOUBLE))) AS BIGINT)
+           AS score
+  FROM scored),
+ranked AS (
+  SELECT r, row_number() OVER (ORDER BY score DESC, doc_id) AS rank, count(*) OVER () AS able
+  FROM noisy WHERE n_features >= 20)
+SELECT doc_id, n_features, weight, score,
+       CAST(CASE WHEN rank <= 10 * able // 100 THEN rank END AS BIGINT) AS rank
+FROM noisy LEFT JOIN ranked USING (r)
 """,
 }

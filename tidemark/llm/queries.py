@@ -6,8 +6,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.llm import (
+    alignment,
     base,
+    credentials,
     decontaminate,
+    importance,
     jaccard_join,
     language_id,
     line_dedup,
@@ -20,6 +23,7 @@ from tidemark.llm import (
 )
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
 
 
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -76,6 +80,19 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(base.table(spark, sf_dir, "documents"), TOKENIZER)
 
 
+def op11_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return credentials.digest(credentials.find(base.table(spark, sf_dir, "documents")))
+
+
+def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = base.table(spark, sf_dir, "documents")
+    return importance.draw(documents, base.table(spark, sf_dir, "benchmark"))
+
+
+def op13_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align(base.table(spark, sf_dir, "documents"), TOKENIZER, PIECES)
+
+
 QUERIES = {
     name: run for name, run in list(globals().items()) if name.startswith("op")
 }
