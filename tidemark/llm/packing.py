@@ -9,7 +9,6 @@ Spark numbers the pieces of each length and joins them with it.
 
 from __future__ import annotations
 
-import json
 import zlib
 from bisect import bisect_right
 from collections.abc import Iterable, Iterator
@@ -17,55 +16,17 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-import tiktoken
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from tokenizers import Tokenizer
 
 from tidemark.llm import base
+from tidemark.llm.byte_bpe import Encoder
 from tidemark.sources import scratch
 
 CAPACITY = 1024
 END_ID = 2
 GROUPS = 64
 PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
-#: Fixed value: how byte-level BPE files of this kind cut a text before merging.
-PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-
-
-def _byte_letters() -> dict[str, int]:
-    """The letters by which byte-level vocabularies write bytes."""
-    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
-    rest = [b for b in range(256) if b not in plain]
-    return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(rest)}
-
-
-class Encoder:
-    """Ids of a byte-level BPE file, as the tokenizers library gives them.
-
-    The merges run in tiktoken, which needs a quarter of the time and gives the same ids. Texts
-    with the string of a special token go to the tokenizers library.
-    """
-
-    def __init__(self, path: str):
-        self.tokenizer = Tokenizer.from_file(path)
-        with open(path, encoding="utf-8") as file:
-            content = json.load(file)
-        letters = _byte_letters()
-        self.special = [token["content"] for token in content["added_tokens"]]
-        ranks = {
-            bytes(letters[c] for c in token): number
-            for token, number in content["model"]["vocab"].items()
-            if token not in self.special
-        }
-        self.encoding = tiktoken.Encoding(
-            "byte-level", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={}
-        )
-
-    def ids(self, text: str) -> list[int]:
-        if any(token in text for token in self.special):
-            return self.tokenizer.encode(text, add_special_tokens=False).ids
-        return self.encoding.encode_ordinary(text)
 
 
 @lru_cache(maxsize=1)
