@@ -14,18 +14,18 @@ their counts come back to the block.
 from __future__ import annotations
 
 import hashlib
-import json
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
+from itertools import accumulate, chain, count
 
 import numpy as np
 import pyarrow as pa
 import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from tokenizers import Tokenizer
 
 from tidemark.llm import base
+from tidemark.llm.byte_bpe import Encoder
 from tidemark.sources import scratch
 
 #: Bytes of text in a block.
@@ -44,33 +44,6 @@ RESULT = (
 INT, LONGS = pa.int64(), pa.list_(pa.int64())
 
 
-def _letter_bytes() -> dict[str, int]:
-    """The letters by which byte-level vocabularies write bytes: printable Latin-1 ones stand
-    for themselves, the others are numbered from 256 on."""
-    own = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 255 and b != 173]
-    other = sorted(set(range(256)) - set(own))
-    return {**{chr(b): b for b in own}, **{chr(256 + i): b for i, b in enumerate(other)}}
-
-
-class ByteLevel:
-    """A byte-level BPE file: ids of texts, and the bytes of each id."""
-
-    def __init__(self, path: str):
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings are plain text
-        letters = _letter_bytes()
-        with open(path, encoding="utf-8") as file:
-            special = {t["id"] for t in json.load(file)["added_tokens"] if t["special"]}
-        self.bytes = {
-            i: token.encode() if i in special else bytes(map(letters.__getitem__, token))
-            for token, i in self.tokenizer.get_vocab(with_added_tokens=True).items()
-        }
-
-    def ids(self, texts: list[str]) -> list[list[int]]:
-        encoded = self.tokenizer.encode_batch(texts, add_special_tokens=False)
-        return [e.ids for e in encoded]
-
-
 class Pieces:
     """A sentencepiece model with byte fallback."""
 
@@ -84,27 +57,24 @@ class Pieces:
             else:
                 self.bytes[i] = piece.replace("▁", " ").encode()
 
-    def ids(self, texts: list[str]) -> list[list[int]]:
-        return self.model.encode(texts, num_threads=1)
+    def ids(self, text: str) -> list[int]:
+        return self.model.encode(text)
 
 
-@lru_cache(maxsize=2)
-def _tokenizers(path_a: str, path_b: str) -> tuple[ByteLevel, Pieces]:
-    return ByteLevel(path_a), Pieces(path_b)
+@lru_cache(maxsize=1)
+def _tokenizers(path_a: str, path_b: str) -> tuple[Encoder, Pieces]:
+    return Encoder(path_a, plain=True), Pieces(path_b)
 
 
-def _ends(ids: list[int], sizes: np.ndarray) -> dict[int, int]:
+def _ends(ids: list[int], sizes: list[int]) -> dict[int, int]:
     """From the byte offset at which tokens end to the index after the last of them."""
-    return dict(zip(np.cumsum(sizes[ids]).tolist(), range(1, len(ids) + 1), strict=True))
+    return dict(zip(accumulate(map(sizes.__getitem__, ids)), count(1), strict=False))
 
 
-def slices(ends_a: dict[int, int], ends_b: dict[int, int]) -> list[tuple[int, int, int, int]]:
-    """First and end index in A and in B of each group."""
-    out, a, b = [], 0, 0
-    for end in sorted(ends_a.keys() & ends_b.keys()):
-        out.append((a, ends_a[end], b, ends_b[end]))
-        _, a, _, b = out[-1]
-    return out
+def slices(ends_a: dict[int, int], ends_b: dict[int, int]) -> tuple[list[int], list[int]]:
+    """The end index in A and in B of each group; the next group begins there."""
+    common = sorted(ends_a.keys() & ends_b.keys())
+    return list(map(ends_a.__getitem__, common)), list(map(ends_b.__getitem__, common))
 
 
 def _ending(ids: list[int], first: int, end: int, sizes: list[int]) -> list[int]:
@@ -121,62 +91,72 @@ class Aligner:
 
     def __init__(self, path_a: str, path_b: str):
         self.a, self.b = _tokenizers(path_a, path_b)
-        self.sizes = []
+        self.sizes, self.names = [], []
         for own in (self.a.bytes, self.b.bytes):
-            sizes = np.zeros(max(own) + 1, np.int64)
-            sizes[list(own)] = [len(token) for token in own.values()]
-            self.sizes.append(sizes)
-        self.short = [sizes.tolist() for sizes in self.sizes]
-        self.names = [[str(i) for i in range(len(sizes))] for sizes in self.sizes]
-
-    def tokens(self, texts: list[str]) -> list[tuple[list[int], list[int]]]:
-        """Ids of both sides; none for texts that either side does not give back."""
-        out = []
-        spaced = [" " + text for text in texts]
-        for text, a, b in zip(spaced, self.a.ids(spaced), self.b.ids(texts), strict=True):
-            raw = text.encode()
-            same = len(raw) > 1 and all(
-                b"".join(map(own.bytes.__getitem__, ids)) == raw
-                for own, ids in ((self.a, a), (self.b, b))
-            )
-            out.append((a, b) if same else ([], []))
-        return out
-
-    def groups(self, a: list[int], b: list[int]) -> list[tuple[int, int, int, int]]:
+            self.sizes.append([len(own.get(i, b"")) for i in range(max(own) + 1)])
+            self.names.append([str(i) for i in range(max(own) + 1)])
+        self.empty = any(not token for own in (self.a, self.b) for token in own.bytes.values())
+
+    def tokens(self, text: str) -> tuple[list[int], list[int]]:
+        """Ids of both sides; none for a text that either side does not give back."""
+        spaced = " " + text
+        raw = spaced.encode()
+        if not text:
+            return [], []
+        a, b = self.a.ids(spaced), self.b.ids(text)
+        for own, ids in ((self.a, a), (self.b, b)):
+            if b"".join(map(own.bytes.__getitem__, ids)) != raw:
+                return [], []
+        return a, b
+
+    def groups(self, a: list[int], b: list[int]) -> tuple[list[int], list[int]]:
         return slices(_ends(a, self.sizes[0]), _ends(b, self.sizes[1]))
 
-    def written(self, a: list[int], b: list[int], groups: list) -> str:
+    def written(self, a: list[int], b: list[int], groups: tuple[list[int], list[int]]) -> str:
         """``a1,a2|b1;a3|b2,b3``: the ids of each group."""
         names_a = list(map(self.names[0].__getitem__, a))
         names_b = list(map(self.names[1].__getitem__, b))
-        return ";".join(
-            ",".join(names_a[i:j]) + "|" + ",".join(names_b[k:m]) for i, j, k, m in groups
-        )
-
-    def links(self, a: list[int], b: list[int], groups: list) -> list[int]:
-        """The code of every pair of tokens that end together."""
-        return [
-            x * SHIFT + y
-            for i, j, k, m in groups
-            for x in _ending(a, i, j, self.short[0])
-            for y in _ending(b, k, m, self.short[1])
-        ]
-
-
-def _block(aligner: Aligner, ids: list, texts: list[str]) -> dict:
+        out, i, k = [], 0, 0
+        for j, m in zip(*groups, strict=True):
+            left = names_a[i] if j == i + 1 else ",".join(names_a[i:j])
+            right = names_b[k] if m == k + 1 else ",".join(names_b[k:m])
+            out.append(f"{left}|{right}")
+            i, k = j, m
+        return ";".join(out)
+
+    def links(self, a: list[int], b: list[int], groups: tuple[list[int], list[int]]) -> np.ndarray:
+        """The code of every pair of tokens that end together: of each group the last ones,
+        and those before tokens without bytes, where a vocabulary has such."""
+        if self.empty:
+            codes, i, k = [], 0, 0
+            for j, m in zip(*groups, strict=True):
+                codes += [
+                    x * SHIFT + y
+                    for x in _ending(a, i, j, self.sizes[0])
+                    for y in _ending(b, k, m, self.sizes[1])
+                ]
+                i, k = j, m
+            return np.array(codes, np.int64)
+        ends_a, ends_b = (np.array(ends, np.int64) - 1 for ends in groups)
+        return np.array(a, np.int64)[ends_a] * SHIFT + np.array(b, np.int64)[ends_b]
+
+
+def _block(aligner: Aligner, ids: list, texts: Iterable[str | None]) -> dict:
     out: dict[str, list] = {
         name: [] for name in ("n_a", "n_b", "n_groups", "groups_sha256", "n_links")
     }
-    codes: list[int] = []
-    for a, b in aligner.tokens(texts):
+    codes = []
+    for text in texts:
+        a, b = aligner.tokens(text or "")
         groups = aligner.groups(a, b)
         own = aligner.links(a, b, groups)
         digest = hashlib.sha256(aligner.written(a, b, groups).encode()).hexdigest() if a else ""
-        for name, value in zip(out, (len(a), len(b), len(groups), digest, len(own)), strict=True):
+        values = (len(a), len(b), len(groups[0]), digest, len(own))
+        for name, value in zip(out, values, strict=True):
             out[name].append(value)
-        codes += own
+        codes.append(own)
     pairs, links, counts = np.unique(
-        np.array(codes, np.int64), return_inverse=True, return_counts=True
+        np.concatenate(codes), return_inverse=True, return_counts=True
     )
     return {
         "doc_id": ids, **out, "links": links.astype(np.uint32).tobytes(), "pairs": pairs,
@@ -193,7 +173,7 @@ def blocks(
         aligner = Aligner(path_a, path_b)
         kinds = [LONGS, LONGS, LONGS, LONGS, pa.list_(pa.string()), LONGS, pa.binary(), LONGS, LONGS]
         for rows in base.blocks(batches, limit=block_bytes):
-            texts = [text or "" for text in rows.column("text").to_pylist()]
+            texts = (text.as_py() for text in chain(*rows.column("text").chunks))
             found = _block(aligner, rows.column("doc_id").to_pylist(), texts)
             yield pa.RecordBatch.from_arrays(
                 [pa.array([v], k) for v, k in zip(found.values(), kinds, strict=True)], list(found)
