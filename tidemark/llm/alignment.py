@@ -16,7 +16,7 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
-from itertools import accumulate, chain, count
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -41,7 +41,7 @@ RESULT = (
     "doc_id bigint, n_a bigint, n_b bigint, n_groups bigint, n_links bigint, n_best bigint, "
     "count_sum bigint, groups_sha256 string"
 )
-INT, LONGS = pa.int64(), pa.list_(pa.int64())
+LONGS = pa.list_(pa.int64())
 
 
 class Pieces:
@@ -55,10 +55,26 @@ class Pieces:
             if self.model.is_byte(i):
                 self.bytes[i] = bytes([int(piece[3:5], 16)])  # <0xHH>
             else:
-                self.bytes[i] = piece.replace("▁", " ").encode()
+                self.bytes[i] = piece.replace("\u2581", " ").encode()
 
-    def ids(self, text: str) -> list[int]:
-        return self.model.encode(text)
+    def ids(self, text: str) -> np.ndarray:
+        return self.model.encode_as_numpy(text)
+
+
+class Vocabulary:
+    """The bytes of ids, their numbers of bytes, and the ids in writing."""
+
+    def __init__(self, tokens: dict[int, bytes], end: str):
+        every = [tokens.get(i, b"") for i in range(max(tokens) + 1)]
+        self.bytes = np.array(every, object)
+        self.sizes = np.array([len(token) for token in every], np.int64)
+        #: Each id in writing, with what follows it within and at the end of a group.
+        self.within = np.array([f"{i}," for i in range(len(every))], object)
+        self.ending = np.array([f"{i}{end}" for i in range(len(every))], object)
+        self.empty = not all(tokens.values())
+
+    def joined(self, ids: np.ndarray) -> bytes:
+        return b"".join(self.bytes[ids].tolist())
 
 
 @lru_cache(maxsize=1)
@@ -66,18 +82,18 @@ def _tokenizers(path_a: str, path_b: str) -> tuple[Encoder, Pieces]:
     return Encoder(path_a, plain=True), Pieces(path_b)
 
 
-def _ends(ids: list[int], sizes: list[int]) -> dict[int, int]:
+def _ends(ids: np.ndarray, sizes: np.ndarray) -> dict[int, int]:
     """From the byte offset at which tokens end to the index after the last of them."""
-    return dict(zip(accumulate(map(sizes.__getitem__, ids)), count(1), strict=False))
+    return dict(zip(np.cumsum(sizes[ids]).tolist(), range(1, len(ids) + 1), strict=True))
 
 
 def slices(ends_a: dict[int, int], ends_b: dict[int, int]) -> tuple[list[int], list[int]]:
     """The end index in A and in B of each group; the next group begins there."""
-    common = sorted(ends_a.keys() & ends_b.keys())
+    common = list(filter(ends_b.__contains__, ends_a))  # ascending, as the ends are
     return list(map(ends_a.__getitem__, common)), list(map(ends_b.__getitem__, common))
 
 
-def _ending(ids: list[int], first: int, end: int, sizes: list[int]) -> list[int]:
+def _ending(ids: list[int], first: int, end: int, sizes) -> list[int]:
     """The tokens of a group that end where it ends: its last, and before it those after which
     only tokens without bytes follow."""
     at = end - 1
@@ -91,54 +107,53 @@ class Aligner:
 
     def __init__(self, path_a: str, path_b: str):
         self.a, self.b = _tokenizers(path_a, path_b)
-        self.sizes, self.names = [], []
-        for own in (self.a.bytes, self.b.bytes):
-            self.sizes.append([len(own.get(i, b"")) for i in range(max(own) + 1)])
-            self.names.append([str(i) for i in range(max(own) + 1)])
-        self.empty = any(not token for own in (self.a, self.b) for token in own.bytes.values())
-
-    def tokens(self, text: str) -> tuple[list[int], list[int]]:
-        """Ids of both sides; none for a text that either side does not give back."""
-        spaced = " " + text
-        raw = spaced.encode()
-        if not text:
-            return [], []
-        a, b = self.a.ids(spaced), self.b.ids(text)
-        for own, ids in ((self.a, a), (self.b, b)):
-            if b"".join(map(own.bytes.__getitem__, ids)) != raw:
-                return [], []
-        return a, b
-
-    def groups(self, a: list[int], b: list[int]) -> tuple[list[int], list[int]]:
-        return slices(_ends(a, self.sizes[0]), _ends(b, self.sizes[1]))
-
-    def written(self, a: list[int], b: list[int], groups: tuple[list[int], list[int]]) -> str:
+        self.own_a, self.own_b = Vocabulary(self.a.bytes, "|"), Vocabulary(self.b.bytes, ";")
+
+    def tokens(self, text: str) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of both sides; none for a text that either side does not give back. Merges of
+        bytes give back every text, so of A only the number of bytes is compared."""
+        if text:
+            spaced = " " + text
+            a, b, raw = self.a.array(spaced), self.b.ids(text), spaced.encode()
+            if self.own_a.sizes[a].sum() == len(raw) and self.own_b.joined(b) == raw:
+                return a, b
+        none = np.zeros(0, np.int64)
+        return none, none
+
+    def groups(self, a: np.ndarray, b: np.ndarray) -> tuple[list[int], list[int]]:
+        return slices(_ends(a, self.own_a.sizes), _ends(b, self.own_b.sizes))
+
+    def written(self, a: np.ndarray, b: np.ndarray, groups: tuple[list[int], list[int]]) -> str:
         """``a1,a2|b1;a3|b2,b3``: the ids of each group."""
-        names_a = list(map(self.names[0].__getitem__, a))
-        names_b = list(map(self.names[1].__getitem__, b))
-        out, i, k = [], 0, 0
-        for j, m in zip(*groups, strict=True):
-            left = names_a[i] if j == i + 1 else ",".join(names_a[i:j])
-            right = names_b[k] if m == k + 1 else ",".join(names_b[k:m])
-            out.append(f"{left}|{right}")
-            i, k = j, m
-        return ";".join(out)
-
-    def links(self, a: list[int], b: list[int], groups: tuple[list[int], list[int]]) -> np.ndarray:
+        out = np.empty(len(a) + len(b), object)
+        ends_a, ends_b = (np.array(ends, np.int64) for ends in groups)
+        for own, ids, ends, other in (
+            (self.own_a, a, ends_a, np.concatenate([[0], ends_b[:-1]])),
+            (self.own_b, b, ends_b, ends_a),
+        ):
+            # a group's ids stand after all ids of the other side that come before them
+            at = np.arange(len(ids)) + np.repeat(other, np.diff(ends, prepend=0))
+            out[at] = own.within[ids]
+            out[at[ends - 1]] = own.ending[ids[ends - 1]]
+        return "".join(out.tolist())[:-1]
+
+    def links(
+        self, a: np.ndarray, b: np.ndarray, groups: tuple[list[int], list[int]]
+    ) -> np.ndarray:
         """The code of every pair of tokens that end together: of each group the last ones,
         and those before tokens without bytes, where a vocabulary has such."""
-        if self.empty:
+        if self.own_a.empty or self.own_b.empty:
             codes, i, k = [], 0, 0
             for j, m in zip(*groups, strict=True):
                 codes += [
                     x * SHIFT + y
-                    for x in _ending(a, i, j, self.sizes[0])
-                    for y in _ending(b, k, m, self.sizes[1])
+                    for x in _ending(a.tolist(), i, j, self.own_a.sizes)
+                    for y in _ending(b.tolist(), k, m, self.own_b.sizes)
                 ]
                 i, k = j, m
             return np.array(codes, np.int64)
         ends_a, ends_b = (np.array(ends, np.int64) - 1 for ends in groups)
-        return np.array(a, np.int64)[ends_a] * SHIFT + np.array(b, np.int64)[ends_b]
+        return a[ends_a].astype(np.int64) * SHIFT + b[ends_b]
 
 
 def _block(aligner: Aligner, ids: list, texts: Iterable[str | None]) -> dict:
@@ -150,7 +165,9 @@ def _block(aligner: Aligner, ids: list, texts: Iterable[str | None]) -> dict:
         a, b = aligner.tokens(text or "")
         groups = aligner.groups(a, b)
         own = aligner.links(a, b, groups)
-        digest = hashlib.sha256(aligner.written(a, b, groups).encode()).hexdigest() if a else ""
+        digest = ""
+        if len(a):
+            digest = hashlib.sha256(aligner.written(a, b, groups).encode()).hexdigest()
         values = (len(a), len(b), len(groups[0]), digest, len(own))
         for name, value in zip(out, values, strict=True):
             out[name].append(value)

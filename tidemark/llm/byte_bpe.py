@@ -6,6 +6,7 @@ import json
 import re
 from functools import cached_property
 
+import numpy as np
 import tiktoken
 from tokenizers import Tokenizer
 
@@ -55,12 +56,19 @@ class Encoder:
         tokenizer.encode_special_tokens = self.plain
         return tokenizer
 
+    def _slow(self, text: str) -> bool:
+        if not self.plain and any(token in text for token in self.special):
+            return True
+        return len(text) > MOST_SPACE and _longest_space(text) > MOST_SPACE
+
     def ids(self, text: str) -> list[int]:
-        marked = not self.plain and any(token in text for token in self.special)
-        if marked or len(text) > MOST_SPACE and _longest_space(text) > MOST_SPACE:
+        if self._slow(text):
             return self.tokenizer.encode(text, add_special_tokens=False).ids
         return self.encoding.encode_ordinary(text)
 
+    def array(self, text: str) -> np.ndarray:
+        return np.array(self.ids(text), np.int64)
+
 
 def _longest_space(text: str) -> int:
     return max((m.end() - m.start() for m in re.finditer(r"\s+", text)), default=0)
