@@ -1,0 +1,70 @@
+import pytest
+from pyspark.sql import functions as F
+
+from tidemark.operators import folding, trending
+from tidemark.operators.folding import Fold
+
+LONGEST = Fold(
+    zero=(None, 0),
+    step=lambda s, row: max(s, (row[0], len(row[0] or "")), key=lambda x: (x[1], x[0] or "")),
+    merge=lambda a, b: max(a, b, key=lambda x: (x[1], x[0] or "")),
+    finish=lambda s: (s[0],),
+    state="word string, size int",
+    result="longest string",
+)
+
+
+@pytest.mark.parametrize("options", [{}, {"fan_in": 2, "held_keys": 3}, {"fan_in": 3}])
+def test_average_and_a_monoid_of_our_own(spark, options):
+    df = spark.range(3000, numPartitions=13).select(
+        F.when(F.col("id") % 10 != 0, F.col("id") % 7).alias("k"),
+        F.when(F.col("id") % 4 != 1, (F.col("id") % 100).cast("double")).alias("v"),
+        F.substring(F.sha2(F.col("id").cast("string"), 256), 1, 4).alias("w"),
+    )
+    found = folding.fold_by_key(df, ["k"], ["v"], folding.average(), **options).collect()
+    expected = {r.k: r.a for r in df.groupBy("k").agg(F.avg("v").alias("a")).collect()}
+    assert len(found) == len(expected) == 8
+    assert {r.k: r.average for r in found} == pytest.approx(expected)
+    words = folding.fold_by_key(df, ["k"], ["w"], LONGEST, **options).collect()
+    most = df.groupBy("k").agg(F.max("w").alias("w")).collect()
+    assert {r.k: r.longest for r in words} == {r.k: r.w for r in most}
+
+
+def test_a_key_in_every_task_is_merged_in_a_tree(spark, monkeypatch):
+    """Sixty tasks hold states of one key; no merge sees more than a few of them."""
+    df = spark.range(6000, numPartitions=60).select(F.lit("hot").alias("k"), F.col("id").cast("double").alias("v"))
+    seen = spark.sparkContext.accumulator(0)
+    partial = folding.partial_states(df, ["k"], ["v"], folding.average())
+    assert partial.count() == 60
+    calls = []
+    merged = folding.merged_states
+    monkeypatch.setattr(folding, "merged_states", lambda *a: calls.append(a[1]) or merged(*a))
+    [row] = folding.fold_by_key(df, ["k"], ["v"], folding.average(), fan_in=4).collect()
+    assert row.average == 2999.5 and seen.value == 0
+    assert len(calls) > 2 and calls[0] == ["k", "_salt"] and calls[-1] == ["k"]
+
+
+def test_growth_by_functions(spark):
+    rows = [
+        (1, 1, "2020-01-02", "b", 5, 7), (1, 1, "2020-01-01", "a", 1, 1), (1, 1, None, "z", 0, 0),
+        (2, 1, "2020-01-01", None, None, 3), (2, 1, "2020-01-01", "a", 4, 4), (3, 1, None, "x", 1, 1),
+        (4, None, "2020-01-01", "c", 1, 2), (4, None, "2020-01-01", "c", 1, 2),
+    ]
+    df = spark.createDataFrame(
+        rows, "video_id int, country int, d string, category string, likes bigint, dislikes bigint"
+    ).withColumn("trending_date", F.to_date("d"))
+    keys, values = ["video_id", "country"], ["trending_date", "category", "likes", "dislikes"]
+    for options in ({}, {"fan_in": 2, "held_keys": 1}):
+        found = folding.fold_by_key(df, keys, values, trending.growth_fold(), **options)
+        found = found.filter("seen > 1").select("video_id", "growth", "category", "country")
+        expected = trending.growth(df).collect()
+        assert sorted(map(str, found.collect())) == sorted(map(str, expected))
+
+
+def test_empty_and_clashing_names(spark):
+    df = spark.createDataFrame([], "k string, v double")
+    assert folding.fold_by_key(df, ["k"], ["v"], folding.average()).count() == 0
+    with pytest.raises(ValueError, match="different names"):
+        folding.fold_by_key(df.withColumnRenamed("k", "n"), ["n"], ["v"], folding.average())
+    with pytest.raises(ValueError, match="two states"):
+        folding.fold_by_key(df, ["k"], ["v"], folding.average(), fan_in=1)

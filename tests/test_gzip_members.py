@@ -1,0 +1,139 @@
+import gzip
+import io
+import random
+import zlib
+
+import pytest
+from pyspark.errors import PySparkException
+
+from tidemark.sources import gzip_members, readers
+
+
+def member(text, level=6):
+    deflate = zlib.compressobj(level, wbits=31)
+    return deflate.compress(text) + deflate.flush()
+
+
+def members(text, sizes, level=6):
+    pick, out, at = random.Random(len(text)), [], 0
+    while at < len(text):
+        size = pick.choice(sizes)
+        out.append(member(text[at : at + size], level))
+        at += size
+    return b"".join(out)
+
+
+def lines_read(spark, path, **options):
+    found = gzip_members.read_lines(spark, str(path), **options).collect()
+    order = sorted(found, key=lambda r: (r.path, r.start, r.number))
+    return [r.value for r in order], {(r.path, r.start) for r in order}
+
+
+TEXT = "\n".join(f"line {i} é🙂 " + "x" * (i * 7 % 90) for i in range(3000)).encode()
+
+
+@pytest.mark.parametrize("sizes", [[700], [1, 5, 3000], [50_000], [10**9]])
+@pytest.mark.parametrize("ended", [True, False])
+def test_lines_across_members(spark, tmp_path, sizes, ended):
+    text = TEXT + b"\n" * ended
+    (tmp_path / "a.gz").write_bytes(members(text, sizes))
+    found, runs = lines_read(spark, tmp_path, stretch_bytes=4000)
+    assert found == TEXT.decode().split("\n")
+    assert len(runs) == 1 if sizes[0] > len(text) else len(runs) > 1
+
+
+def test_a_line_longer_than_runs(spark, tmp_path):
+    noise = random.Random(1).randbytes(60_000).hex().encode()
+    text = b"first\n" + noise + b"\nlast\r\n\nend"
+    (tmp_path / "a.gz").write_bytes(members(text, [2000]))
+    found, _ = lines_read(spark, tmp_path, stretch_bytes=3000)
+    assert found == ["first", noise.decode(), "last", "", "end"]
+
+
+def test_stored_members_within_members(spark, tmp_path):
+    """A member that holds whole gzip files as they are; none of its lines is read twice."""
+    inner = members(b"inner\n" * 50, [60])
+    assert b"\n" not in gzip_members.HEADER
+    text = b"a\n" + inner.replace(b"\n", b"~") + b"\nb\n"
+    broken = b"".join([b"x\n", inner, b"\ny\n"])
+    (tmp_path / "a.gz").write_bytes(
+        members(text * 40, [5000], level=0) + member(broken * 3, level=0) + member(b"z\n")
+    )
+    plain = (text * 40 + broken * 3 + b"z\n").decode("utf-8", "replace")
+    for stretch in (64, 1000, 1 << 20):
+        found, _ = lines_read(spark, tmp_path, stretch_bytes=stretch)
+        assert len(found) == plain.count("\n")
+        assert found[0] == "a" and found[-1] == "z"
+    expected = [
+        line.removesuffix(b"\r").decode("utf-8", "replace")
+        for line in (text * 40 + broken * 3 + b"z\n").split(b"\n")[:-1]
+    ]
+    assert found == expected
+
+
+@pytest.mark.parametrize("fault", ["cut", "changed", "joined"])
+def test_broken_files_fail(spark, tmp_path, fault):
+    content = bytearray(members(TEXT, [9000]))
+    if fault == "cut":
+        content = content[:-5]
+    elif fault == "changed":
+        content[len(content) // 2] ^= 255
+    else:
+        content += b"trailing"
+    (tmp_path / "a.gz").write_bytes(bytes(content))
+    with pytest.raises(ValueError, match="belong to no gzip member"):
+        gzip_members.read_lines(spark, str(tmp_path), stretch_bytes=3000)
+
+
+def test_headers_are_compared_in_every_file(spark, tmp_path):
+    for name in "ab":
+        (tmp_path / f"{name}.gz").write_bytes(members(b"h1\th2\n" + TEXT, [800]))
+    found, runs = lines_read(spark, tmp_path, header="h1\th2", stretch_bytes=5000)
+    assert found == TEXT.decode().split("\n") * 2 and len(runs) > 4
+    (tmp_path / "c.gz").write_bytes(members(b"h2\th1\n" + TEXT, [800]))
+    with pytest.raises(PySparkException, match="another header"):
+        lines_read(spark, tmp_path, header="h1\th2")
+
+
+def test_empty_files(spark, tmp_path):
+    (tmp_path / "a.gz").write_bytes(b"")
+    (tmp_path / "b.gz").write_bytes(member(b""))
+    (tmp_path / "c.gz").write_bytes(member(b"") + member(b"x") + member(b""))
+    assert lines_read(spark, tmp_path)[0] == ["x"]
+
+
+def test_written_files_are_plain_gzip(spark, tmp_path):
+    rows = [(f"é {i}" if i % 9 else None,) for i in range(2000)]
+    lines = spark.createDataFrame(rows, "value string").repartition(3)
+    path = tmp_path / "out"
+    gzip_members.write_lines(lines, str(path), "head", member_bytes=512)
+    assert sorted(p.name[:5] for p in path.iterdir()) == ["part-"] * 3
+    read = []
+    for file in path.iterdir():
+        content = file.read_bytes()
+        assert content.count(gzip_members.HEADER) > 5
+        text = gzip.GzipFile(fileobj=io.BytesIO(content)).read().decode()
+        assert text.startswith("head\n") and text.endswith("\n")
+        read += text[5:-1].split("\n")
+    assert sorted(read) == sorted(v or "" for (v,) in rows)
+    found, runs = lines_read(spark, path, header="head", stretch_bytes=300)
+    assert sorted(found) == sorted(read) and len(runs) > 6
+
+
+def test_one_file_of_reviews_by_several_tasks(spark, tmp_path):
+    head = "\t".join(readers.REVIEW_LAYOUT)
+    rows = [
+        "\t".join(["US", f"c{i}", f"r{i}", f"p{i}", "", "t", "", "5" if i % 3 else "x", "0", "0",
+                   "N", "Y", "h", '"a ""b"" é"' if i % 2 else "plain", "2015"])
+        for i in range(800)
+    ]
+    text = ("\n".join([head, *rows]) + "\n").encode()
+    (tmp_path / "many.gz").write_bytes(members(text, [600, 2000]))
+    single = tmp_path / "single"
+    single.mkdir()
+    (single / "one.gz").write_bytes(member(text))
+    many = readers.read_gzip_reviews(spark, str(tmp_path / "many.gz"), stretch_bytes=1500)
+    one = readers.read_reviews(spark, str(single))
+    assert many.columns == one.columns and many.dtypes == one.dtypes
+    assert many.rdd.getNumPartitions() > 3 and one.rdd.getNumPartitions() == 1
+    assert sorted(many.collect(), key=str) == sorted(one.collect(), key=str)

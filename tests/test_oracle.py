@@ -46,7 +46,8 @@ def test_query_over_many_files(spark, con, scattered, name):
 
 
 def test_every_query_has_sql():
-    assert set(QUERIES) == set(SQL)
+    # a fitted model's neighbours are no SQL; q24 ranks them anew instead
+    assert set(QUERIES) - set(SQL) == {"q54_word2vec_neighbours"} and set(SQL) <= set(QUERIES)
 
 
 def test_entry(spark, sf_dir):

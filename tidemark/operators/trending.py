@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions import numbers
+from tidemark.operators import folding
 
 
 def video_countries(videos: DataFrame) -> DataFrame:
@@ -77,3 +78,28 @@ def growth(videos: DataFrame) -> DataFrame:
 
 def top_growth(videos: DataFrame, k: int = 10) -> DataFrame:
     return growth(videos).orderBy(F.desc("growth"), "video_id", "country").limit(k)
+
+
+def growth_fold() -> folding.Fold:
+    """Growth between the first two of date, category, likes and dislikes, for ``fold_by_key``:
+    growth, category and ``seen``, how many sightings there were, up to two."""
+
+    def rank(row: tuple) -> list:
+        # NULLs are not compared: those of the date come last, the others first
+        flags = [row[0] is None, *[value is not None for value in row[1:]]]
+        return [(flag, 0 if value is None else value) for flag, value in zip(flags, row, strict=True)]
+
+    def finish(found: list[tuple]) -> tuple:
+        if len(found) < 2:
+            return None, found[0][1] if found else None, len(found)
+        (_, category, likes, dislikes), (_, _, more_likes, more_dislikes) = found
+        known = None not in (likes, dislikes, more_likes, more_dislikes)
+        grown = (more_dislikes - dislikes) - (more_likes - likes) if known else None
+        return grown, category, len(found)
+
+    columns = ["{}_date date", "{}_category string", "{}_likes bigint", "{}_dislikes bigint"]
+    both = [c.format(name) for name in ("first", "second") for c in columns]
+    return folding.first_two(
+        rank, ", ".join(["seen_so_far int", *both]), "growth bigint, category string, seen int",
+        finish,
+    )

@@ -364,3 +364,34 @@ ORACLE["q48_rating_files"] = f"""
     SELECT genre, round(avg(l_quantity), 6) AS average_rating
     FROM ({GENRES} WHERE p_type NOT IN ('ECONOMY', 'SMALL')) JOIN lineitem ON movie_id = l_partkey
     WHERE l_returnflag <> 'R' AND l_linenumber <> 1 GROUP BY genre"""
+
+ORACLE["q49_gzip_members"] = ORACLE["q37_review_file"]
+ORACLE["q50_positional_zip"] = """
+    WITH by_key AS (
+        SELECT o_orderkey, o_orderstatus, row_number() OVER (ORDER BY o_orderkey) - 1 AS position
+        FROM orders),
+    by_price AS (
+        SELECT o_orderkey AS priced_orderkey, round(o_totalprice * 100)::bigint AS cents,
+               row_number() OVER (ORDER BY round(o_totalprice * 100) DESC, o_orderkey) - 1
+                   AS position
+        FROM orders)
+    SELECT position, o_orderkey, o_orderstatus, priced_orderkey, cents
+    FROM by_key JOIN by_price USING (position)"""
+ORACLE["q51_exact_quantiles"] = """
+    WITH ordered AS (
+        SELECT l_returnflag, round(l_extendedprice * 100)::bigint AS cents,
+               row_number() OVER (PARTITION BY l_returnflag ORDER BY l_extendedprice) - 1 AS place,
+               count(*) OVER (PARTITION BY l_returnflag) AS n
+        FROM lineitem),
+    wanted AS (
+        SELECT DISTINCT l_returnflag, n, fraction, (n - 1) * fraction AS spot
+        FROM ordered, (SELECT unnest([0.0, 0.25, 0.5, 0.9, 1.0])::double AS fraction))
+    SELECT w.l_returnflag, w.fraction, w.n, a.cents AS lower, b.cents AS upper,
+           round(CASE WHEN a.cents = b.cents THEN a.cents::double
+                 ELSE a.cents::double + (b.cents - a.cents)::double * (spot - floor(spot)) END, 6)
+               AS quantile
+    FROM wanted w
+    JOIN ordered a ON a.l_returnflag = w.l_returnflag AND a.place = floor(spot)
+    JOIN ordered b ON b.l_returnflag = w.l_returnflag AND b.place = ceil(spot)"""
+ORACLE["q52_folded_average"] = ORACLE["q31_average_rating_per_genre"]
+ORACLE["q53_folded_growth"] = ORACLE["q27_growth"]

@@ -6,7 +6,9 @@ from collections.abc import Callable
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions import dates
@@ -16,14 +18,17 @@ from tidemark.operators import (
     cascade,
     centres,
     embed,
+    folding,
+    positions,
     profile,
     ratings,
+    selection,
     sentences,
     tags,
     trending,
 )
 from tidemark.plans import tables as t
-from tidemark.sources import readers, scratch, sinks
+from tidemark.sources import gzip_members, readers, scratch, sinks
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -198,11 +203,18 @@ def _block_sums(vector: str) -> list:
     return [block(i) for i in range(BLOCKS)]
 
 
+def _word2vec(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Tokenised sentences, their vectors and those of their words, trained by as many tasks as
+    run side by side."""
+    tokens = t.written_tokens(spark, sf_dir)
+    tasks = spark.sparkContext.defaultParallelism
+    return tokens, *embed.word2vec(tokens, sentences.SENTIMENTS, num_partitions=tasks)
+
+
 @query
 def q23_word2vec_vectors(spark, sf_dir):
     """Length of each sentence's vector, and whether it is the mean of its words' vectors."""
-    tokens = t.written_tokens(spark, sf_dir)
-    vectors, words = embed.word2vec(tokens, sentences.SENTIMENTS)
+    tokens, vectors, words = _word2vec(spark, sf_dir)
     key = ["sentiment", "review_id", "pos"]
     names = [f"s{i}" for i in range(BLOCKS)]
     word_sums = words.select("sentiment", "word", *_block_sums("vector"))
@@ -219,28 +231,66 @@ def q23_word2vec_vectors(spark, sf_dir):
     )
 
 
-@query
-def q24_word2vec_nearest(spark, sf_dir):
-    """Ranks of the ten nearest, and whether distances agree with those of the float vectors."""
-    tokens = t.written_tokens(spark, sf_dir)
-    vectors = embed.word2vec_vectors(tokens, sentences.SENTIMENTS)
-    vectors = scratch.written(vectors, "word2vec-vectors")
+def _word2vec_nearest(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """The float vectors as a table, and the ten nearest to the centre of each class."""
+    vectors = scratch.written(_word2vec(spark, sf_dir)[1], "word2vec-vectors")
     units = scratch.written(centres.unit_vectors(vectors), "word2vec-units")
     near = centres.nearest_to_centres(units, groups=sentences.SENTIMENTS)
-    plain = vectors.select("sentiment", "review_id", "pos", F.col("vector").alias("a"))
-    centre = plain.toDF("sentiment", "centre_review_id", "centre_pos", "b")
-    dot = lambda x, y: F.aggregate(
-        F.zip_with(x, y, lambda p, q: p * q), F.lit(0.0), lambda total, p: total + p
+    return vectors, scratch.written(near, "word2vec-nearest")
+
+
+def _dot(left: str, right: str) -> Column:
+    products = F.zip_with(left, right, lambda a, b: a * b)
+    return F.aggregate(products, F.lit(0.0), lambda total, x: total + x)
+
+
+@query
+def q24_word2vec_nearest(spark, sf_dir):
+    """Ranks of the ten nearest, and whether they agree with a ranking of all float vectors:
+    the centre's mean distance is the least of its class, and the distance at each rank is
+    that of all rows of the class, ranked anew."""
+    vectors, near = _word2vec_nearest(spark, sf_dir)
+    length = F.sqrt(_dot("vector", "vector"))
+    directions = scratch.written(
+        vectors.withColumn("length", length).filter("length > 0").select(
+            "sentiment", "review_id", "pos",
+            F.transform("vector", lambda x: x / F.col("length")).alias("direction"),
+        ),
+        "word2vec-directions",
+    )
+    mean = vector_to_array(Summarizer.mean(array_to_vector("direction")))
+    means = directions.groupBy("sentiment").agg(mean.alias("mean"))
+    centre = near.select("sentiment", "centre_review_id", "centre_pos").distinct()
+    of_centre = centre.join(
+        directions.toDF("sentiment", "centre_review_id", "centre_pos", "centre"),
+        ["sentiment", "centre_review_id", "centre_pos"],
     )
-    cosine = dot("a", "b") / F.sqrt(dot("a", "a") * dot("b", "b"))
-    return (
-        near.join(plain, ["sentiment", "review_id", "pos"])
-        .join(centre, ["sentiment", "centre_review_id", "centre_pos"])
-        .select(
+    measured = scratch.written(
+        directions.join(means, "sentiment").join(of_centre, "sentiment").select(
             "sentiment",
-            "rank",
-            (F.abs(1 - cosine - F.col("distance")) <= 1e-6).alias("agrees"),
-        )
+            (1 - _dot("direction", "mean")).alias("mean_distance"),
+            (1 - _dot("direction", "centre")).alias("distance"),
+            ((F.col("review_id") == F.col("centre_review_id"))
+             & (F.col("pos") == F.col("centre_pos"))).alias("is_centre"),
+        ),
+        "word2vec-distances",
+    )
+    least = measured.groupBy("sentiment").agg(
+        (F.min("mean_distance") + 1e-6 >= F.max(F.when(F.col("is_centre"), F.col("mean_distance"))))
+        .alias("is_least")
+    )
+    anew = Window.partitionBy("sentiment").orderBy("distance")
+    ranked = (
+        measured.filter("not is_centre")
+        .withColumn("rank", F.row_number().over(anew))
+        .filter("rank <= 10")
+        .select("sentiment", "rank", F.col("distance").alias("float_distance"))
+    )
+    agrees = F.col("is_least") & (F.abs(F.col("float_distance") - F.col("distance")) <= 2e-6)
+    return (
+        near.join(ranked, ["sentiment", "rank"], "left")
+        .join(least, "sentiment", "left")
+        .select("sentiment", "rank", F.coalesce(agrees, F.lit(False)).alias("agrees"))
     )
 
 
@@ -446,3 +496,67 @@ def q48_rating_files(spark, sf_dir):
         readers.read_movies(spark, movies), readers.read_ratings(spark, rated)
     )
     return average.select("genre", rounded(F.col("average_rating"), 6).alias("average_rating"))
+
+
+# The same jobs where one file, one key or one order would otherwise need a single task
+
+
+@query
+def q49_gzip_members(spark, sf_dir):
+    """The review file of q37 in two gzip files of many members each, read by runs of them."""
+    path = scratch.scratch_path(spark, "reviews")
+    lines, columns = t.review_lines(spark, sf_dir)
+    gzip_members.write_lines(lines.repartition(2), path, "\t".join(columns), 1 << 18)
+    return readers.read_gzip_reviews(spark, path, columns, 1 << 19)
+
+
+@query
+def q50_positional_zip(spark, sf_dir):
+    """Orders in the order of their keys beside orders in that of their prices."""
+    orders = t.table(spark, sf_dir, "orders")
+    by_key = positions.numbered(orders.select("o_orderkey", "o_orderstatus"), ["o_orderkey"])
+    priced = orders.select(
+        F.col("o_orderkey").alias("priced_orderkey"),
+        F.round(F.col("o_totalprice") * 100).cast("bigint").alias("cents"),
+    )
+    by_price = positions.numbered(priced, [F.desc("cents"), "priced_orderkey"])
+    return positions.zipped(by_key, by_price)
+
+
+@query
+def q51_exact_quantiles(spark, sf_dir):
+    """Quantiles of very many different prices under three keys."""
+    items = t.table(spark, sf_dir, "lineitem").select(
+        "l_returnflag", F.round(F.col("l_extendedprice") * 100).cast("bigint").alias("cents")
+    )
+    found = selection.quantiles(items, "l_returnflag", "cents", (0.0, 0.25, 0.5, 0.9, 1.0))
+    return found.withColumn("quantile", rounded(F.col("quantile"), 6))
+
+
+@query
+def q52_folded_average(spark, sf_dir):
+    """q31 by functions: a start, a step and a merge."""
+    rated = ratings.movie_genres(t.movies(spark, sf_dir)).join(
+        t.ratings(spark, sf_dir), "movie_id"
+    )
+    found = folding.fold_by_key(rated, ["genre"], ["rating"], folding.average())
+    return found.select("genre", rounded(F.col("average"), 6).alias("average_rating"))
+
+
+@query
+def q53_folded_growth(spark, sf_dir):
+    """q27 by functions: states of the first two sightings."""
+    seen = trending.sightings(t.videos(spark, sf_dir))
+    growth = folding.fold_by_key(
+        seen,
+        ["video_id", "country"],
+        ["trending_date", "category", "likes", "dislikes"],
+        trending.growth_fold(),
+    )
+    return growth.filter("seen > 1").select("video_id", "growth", "category", "country")
+
+
+@query
+def q54_word2vec_neighbours(spark, sf_dir):
+    """The ten nearest themselves: ids, centre and distance, which follow the fitted model."""
+    return _word2vec_nearest(spark, sf_dir)[1]

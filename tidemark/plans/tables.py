@@ -214,6 +214,13 @@ def review_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def review_lines(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, list[str]]:
+    """The same as tab-separated lines, and the names of their columns."""
+    reviews = review_table(spark, sf_dir)
+    line = F.to_csv(F.struct(*reviews.columns), {"sep": "\t"})
+    return reviews.select(line.alias("value")), reviews.columns
+
+
 def movie_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Parts as movie lines; economy parts have a field too many, small ones one too few."""
     title = F.concat(F.lit('"'), F.col("p_name"), F.lit(', ""the"" '), "p_type", F.lit('"'))

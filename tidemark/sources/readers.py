@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions import dates, numbers, text
+from tidemark.sources import gzip_members
 
 # The layouts of the input files.
 VIDEO_FIELDS = [
@@ -120,6 +121,27 @@ def read_reviews(
     return reviews.hint("rebalance", "review_id") if rebalance else reviews
 
 
+def read_gzip_reviews(
+    spark: SparkSession,
+    path: str,
+    columns: Sequence[str] = REVIEW_LAYOUT,
+    stretch_bytes: int = gzip_members.STRETCH_BYTES,
+) -> DataFrame:
+    """Reviews as ``read_reviews`` gives them, from gzip files of several members, each of
+    which is read by as many tasks as its runs of members allow."""
+    schema = ", ".join(f"`{name}` string" for name in columns)
+    lines = gzip_members.read_lines(spark, path, "\t".join(columns), stretch_bytes)
+    review = F.from_csv("value", F.lit(schema), {"sep": "\t"})
+    whole = lines.filter(F.col("value").rlike(r"[^\x00-\x20]"))  # as the file reader does
+    return whole.select(review.alias("r")).select(
+        *[
+            F.col(f"r.{name}").try_cast("int").alias(name) if name == "star_rating"
+            else F.col(f"r.{name}")
+            for name in REVIEW_FIELDS
+        ]
+    )
+
+
 def read_movies(spark: SparkSession, path: str, genre_sep: str = "|") -> DataFrame:
     """Quoted CSV of id, title and genres; lines with another number of fields go."""
     raw = (
