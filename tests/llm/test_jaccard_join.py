@@ -122,6 +122,64 @@ def test_one_row_of_each_component_stays(spark):
     assert kept.count() == len(expected)
 
 
+@pytest.mark.parametrize("middle", [3, None])
+def test_links_through_a_row_without_an_id(spark, middle):
+    words = [f"w{i}" for i in range(100)]
+    texts = [words[:94], words[3:97], words[6:]]  # neighbours share 87 of 93 shingles
+    texts = [" ".join(t + [f"e{i}" for i in range(4)]) for t in texts]
+    rows = [(1, texts[0], "", 0, ""), (middle, texts[1], "", 0, ""), (5, texts[2], "", 0, "")]
+    sets = [shingle_set(t) for t in texts]
+    near = [len(a & b) / len(a | b) >= 0.75 for a, b in ((sets[0], sets[1]), (sets[0], sets[2]))]
+    assert near == [True, True] or near == [True, False]
+    assert run(spark, rows) == brute(rows)
+    assert [r[2] for r in run(spark, rows)] == [1, 1, 1]
+
+
+def test_only_copies_go_where_ids_repeat(spark):
+    a, b = " ".join(f"a{i}" for i in range(30)), " ".join(f"b{i}" for i in range(30))
+    rows = [(1, a, "k", 1, "c"), (5, a, "k", 2, "c"), (5, b, "k", 3, "c"), (None, a, "k", 4, "c"),
+            (None, b + " x", "k", 5, "c"), (None, None, "k", 6, "c"), (5, "", "k", 7, "c")]
+    kept = jaccard_join.keep_one(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert sorted(r.n for r in kept) == [1, 3, 6, 7]
+
+
+def test_one_stays_where_none_has_an_id(spark):
+    words = [f"w{i}" for i in range(60)]
+    texts = [" ".join([*words, f"e{i}"]) for i in range(4)]
+    rows = [(None, t, "", i, "") for i, t in enumerate([*texts, "other words"])]
+    kept = jaccard_join.keep_one(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert len(kept) == 2 and "other words" in {r.text for r in kept}
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_missing_and_repeated_ids(spark, seed):
+    pick = random.Random(seed)
+    rows = [(pick.choice([None, r[0], r[0] % 12]), *r[1:]) for r in corpus(seed + 20, 90)]
+    assert run(spark, rows, leaf=6, pivots=2) == brute(rows)
+
+
+def test_regions_within_others_go(spark):
+    from tidemark.sources import scratch
+
+    regions = {1: {1, 2, 3, 4}, 2: {2, 3}, 3: {3, 5}, 6: {6, 7}, 7: {6, 7}, 8: {4, 3, 2, 1}}
+    rows = [(r, n) for r, nodes in regions.items() for n in nodes]
+    pairs = scratch.written(spark.createDataFrame(rows, "region bigint, node bigint"), "pairs")
+    left = {}
+    for row in jaccard_join.without_parts(pairs).collect():
+        left.setdefault(row.region, set()).add(row.node)
+    assert sorted(map(sorted, left.values())) == [[1, 2, 3, 4], [3, 5], [6, 7]]
+    assert all(regions[r] == nodes for r, nodes in left.items())
+
+
+def test_a_region_beyond_a_leaf_of_the_usual_size(spark):
+    """Near copies of one text, more than one task takes: the query's own way past it."""
+    n = jaccard_join.LEAF + 300
+    words = [f"w{i}" for i in range(40)]
+    rows = [(i + 2, " ".join([*words, f"e{i % 3000}"]), "", 0, "") for i in range(n)]
+    found = run(spark, rows)
+    assert {r[2] for r in found} == {2} and len(found) == n
+
+
 def test_query_equals_sql(spark, sf_dir):
     _, rows = spark_rows(queries.op3_ngram_jaccard_join(spark, sf_dir))
     assert rows == oracle_rows(connect(sf_dir), oracle.ORACLE["op3_ngram_jaccard_join"])[1]

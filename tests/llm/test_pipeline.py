@@ -4,6 +4,7 @@ from collections import defaultdict
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
@@ -48,12 +49,19 @@ def test_quality_rejects_and_keeps(steps, spark, sf_dir):
 
 
 def test_lines_go_as_brute_force_says(steps):
+    """First chunks, then the runs of lines that are counted from the lines alone."""
     got, kept = steps["line dedup"]
-    expected = {}
+    middle = []
     for row, (_, _, chunks, _, left) in zip(got, cleaned_by_brute_force(got), strict=True):
-        expected[row.doc_id] = (left if chunks else row.text, len(left) if chunks else row.n_chars)
+        text, n = (left, len(left)) if chunks else (row.text, row.n_chars)
+        middle.append(Row(doc_id=row.doc_id, text=text, n_chars=n))
+    before = {r.doc_id: (r.text, r.n_chars) for r in middle}
+    expected = {
+        r[0]: (r[3], len(r[3])) if r[2] else before[r[0]] for r in runs_by_brute_force(middle)
+    }
     assert {r.doc_id: (r.text, r.n_chars) for r in kept} == expected
-    assert any(a.text != expected[a.doc_id][0] for a in got)
+    assert any(a.text != before[a.doc_id][0] for a in got)
+    assert any(expected[a.doc_id] != before[a.doc_id] for a in got)
 
 
 def test_one_of_each_group_stays(steps):
@@ -111,12 +119,8 @@ def test_odd_tables(spark, sf_dir, tmp_path):
                 assert given.columns == frame.columns and len(rows) <= frame.count()
 
 
-def test_no_run_of_lines_is_left_twice(steps):
-    """Counted from the lines alone."""
-    got, kept = steps["line runs"]
-    before = {r.doc_id: (r.text, r.n_chars) for r in got}
-    expected = {
-        r[0]: (r[3], len(r[3])) if r[2] else before[r[0]] for r in runs_by_brute_force(got)
-    }
-    assert {r.doc_id: (r.text, r.n_chars) for r in kept} == expected
-    assert any(r.text != before[r.doc_id][0] for r in kept)
+def test_five_stages_in_the_dealt_order():
+    assert [name for name, _ in corpus_pipeline.STAGES] == [
+        "quality classifier", "line dedup", "n-gram Jaccard join", "benchmark decontamination",
+        "best-fit packing",
+    ]

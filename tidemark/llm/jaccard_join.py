@@ -11,6 +11,7 @@ distances to a pivot. But most documents share nothing with most others and lie
    of their first few (prefix filter). Each such shingle elects the document with the
    smallest hash among those that have it as pivot. A pivot and all who elected it form its
    region; linked documents are in a region together.
+   A region whose documents are all in a larger one is left out.
 3. *Regions.* A region small enough is joined in one task: prefixes propose pairs, the
    distances to the pivot discard by the triangle inequality, and what is already connected
    is not compared again. A larger one gets several pivots; each document goes to the nearest
@@ -23,6 +24,7 @@ Copies (equal word sequences) are one document throughout.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -30,6 +32,8 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from tidemark.llm import base, exchange, fitting
 from tidemark.llm.components import components
@@ -108,28 +112,21 @@ def least_shared_by_smaller(n, percent: int):
     return -(-2 * percent * n // (100 + percent))
 
 
-def candidates(documents: DataFrame, info: DataFrame, size: int, percent: int) -> DataFrame:
-    """The shingle sets of documents that may be linked, one of each group of copies: node,
-    key, n and the hashes. Nodes are numbered in the written table."""
-    chosen = (
-        info.filter(F.col("key").isNotNull() & F.col("doc_id").isNotNull())
-        .groupBy("key")
-        .agg(F.min("doc_id").alias("doc_id"), F.max("n_shingles").alias("n"),
-             F.max("n_shared").alias("shared"))
-        .filter(F.col("shared") * 100 >= F.col("n") * percent)
-        .select("doc_id", "key")
-    )
-    texts = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
+def _sets(texts: DataFrame, size: int) -> DataFrame:
+    """Key, number of shingles and shingles of every text; of rows with a ``key``, of those
+    that have it."""
+    asked = "key" in texts.columns
 
     def sets(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         numbers = word_numbers()
         for block in base.blocks(batches):
             keys, found = [], []
-            texts = base.texts_as_bytes(block)
-            for text, name in zip(texts, block.column("key").to_pylist(), strict=True):
+            wanted = block.column("key").to_pylist() if asked else [None] * block.num_rows
+            for text, name in zip(base.texts_as_bytes(block), wanted, strict=True):
                 words = tokens(text)
-                if key(words) == name:  # another text may have the same doc_id
-                    keys.append(name)
+                own = key(words)
+                if own is not None and (name is None or own == name):
+                    keys.append(own)
                     found.append(shingles(words, numbers, size).view(np.int64))
             yield pa.RecordBatch.from_pydict(
                 {
@@ -139,12 +136,41 @@ def candidates(documents: DataFrame, info: DataFrame, size: int, percent: int) -
                 }
             )
 
-    return (
-        texts.join(scratch.written(chosen, "candidates"), "doc_id")
-        .select("key", "text")
-        .mapInArrow(sets, "key string, n int, hashes array<bigint>")
-        .withColumn("node", F.monotonically_increasing_id())
+    return texts.mapInArrow(sets, "key string, n int, hashes array<bigint>")
+
+
+def candidates(documents: DataFrame, info: DataFrame, size: int, percent: int) -> DataFrame:
+    """The shingle sets of documents that may be linked, one of each group of copies: node,
+    key, n and the hashes. Nodes are numbered in the written table.
+
+    A document is found again by its doc_id. Where rows share an id, or have none, all of
+    them are read and their keys decide.
+    """
+    chosen = (
+        info.filter(F.col("key").isNotNull())
+        .groupBy("key")
+        .agg(F.min("doc_id").alias("doc_id"), F.max("n_shingles").alias("n"),
+             F.max("n_shared").alias("shared"))
+        .filter(F.col("shared") * 100 >= F.col("n") * percent)
+        .select("doc_id", "key")
+    )
+    several = scratch.written(
+        info.groupBy("doc_id").agg(F.count("*").alias("rows"))
+        .filter("rows > 1 or doc_id is null").select("doc_id"),
+        "shared-ids",
+    )
+    own = chosen.join(several, chosen["doc_id"].eqNullSafe(several["doc_id"]), "left_anti")
+    texts = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
+    found = _sets(
+        texts.join(scratch.written(own, "candidates"), "doc_id").select("key", "text"), size
     )
+    if not several.isEmpty():
+        vague = texts.join(several, texts["doc_id"].eqNullSafe(several["doc_id"]), "left_semi")
+        sets = _sets(vague.select("text"), size).join(chosen.select("key"), "key", "left_semi")
+        once = sets.groupBy("key").agg(F.first("n").alias("n"), F.first("hashes").alias("hashes"))
+        known = own.select("key")
+        found = found.unionByName(once.join(known, "key", "left_anti"))
+    return found.withColumn("node", F.monotonically_increasing_id())
 
 
 def regions(sets: DataFrame, percent: int, block_bytes: int = base.BLOCK_BYTES) -> DataFrame:
@@ -186,6 +212,23 @@ def regions(sets: DataFrame, percent: int, block_bytes: int = base.BLOCK_BYTES)
     return first.join(elected, "hash").select("region", "node").distinct()
 
 
+def without_parts(pairs: DataFrame) -> DataFrame:
+    """The regions that do not lie within another one. ``pairs`` is a written table.
+
+    If all nodes of a region have the same region as their largest and it is another one, that
+    one holds them all. It stays itself, since it is the largest of some of its nodes.
+    """
+    sizes = pairs.groupBy("region").agg(F.count("*").alias("members"))
+    largest = pairs.join(sizes, "region").groupBy("node").agg(
+        F.max(F.struct("members", "region"))["region"].alias("largest")
+    )
+    of_region = pairs.join(largest, "node").groupBy("region").agg(
+        F.min("largest").alias("least"), F.max("largest").alias("most")
+    )
+    inner = of_region.filter("least = most and least != region").select("region")
+    return pairs.join(inner, "region", "left_anti")
+
+
 def least_shared_by_larger_sql(n: str, percent: int):
     return F.ceil(F.col(n) * percent / 100).cast("int")
 
@@ -374,52 +417,50 @@ def links(
     sets: DataFrame, percent: int, leaf: int = LEAF, pivots: int = PIVOTS,
     block_bytes: int = base.BLOCK_BYTES,
 ) -> DataFrame:
-    """Links that connect all that is connected: u and v, nodes of the sets."""
-    spark = sets.sparkSession
-    members = scratch.written(
-        regions(sets, percent, block_bytes).join(sets.select("node", "n", "hashes"), "node").select(
+    """Links that connect all that is connected: u and v, nodes of the sets.
+
+    Regions are pairs of ids; the hashes join them where they are compared, except those of
+    regions that have to be divided first.
+    """
+    proposed = scratch.written(regions(sets, percent, block_bytes), "proposed-regions")
+    pairs = scratch.written(without_parts(proposed), "regions")
+    own = sets.select("node", "n", "hashes")
+
+    def members(chosen: DataFrame) -> DataFrame:
+        return chosen.join(own, "node").select(
             F.col("region").cast("string").alias("region"), F.col("region").alias("pivot"),
             "node", "n", "hashes",
-        ),
-        "regions",
-    )
-    found = []
-    before = None
+        )
+
+    def larger(rows: DataFrame) -> DataFrame:
+        sizes = rows.groupBy("region").agg(F.count("*").alias("members"))
+        return scratch.written(sizes.filter(F.col("members") > leaf), "large-regions")
+
+    over = larger(pairs)
+    fits = pairs.join(over.select("region"), "region", "left_anti")
+    found = members(fits).groupBy("region").applyInArrow(_leaf(percent), LINKS)
+    if over.isEmpty():
+        return found
+    large, before = members(pairs.join(over.select("region"), "region", "left_semi")), None
     while True:
-        sizes = members.groupBy("region").agg(F.count("*").alias("members"))
-        over = sizes.filter(F.col("members") > leaf).select("region", "members")
-        totals = over.agg(F.count("*"), F.max("members"), F.sum("members")).first()
-        if not totals[0]:
-            found.append(members.groupBy("region").applyInArrow(_leaf(percent), LINKS))
-            break
-        over = scratch.written(over, "large-regions")
-        fits = members.join(over.select("region"), "region", "left_anti")
-        found.append(fits.groupBy("region").applyInArrow(_leaf(percent), LINKS))
-        large = members.join(over.select("region"), "region", "left_semi")
-        if before is not None and totals[1] > 0.8 * before:
+        large = scratch.written(_divided(large, pivots, leaf, percent), "divided-regions")
+        over = larger(large)
+        fits = large.join(over.select("region"), "region", "left_anti")
+        found = found.union(fits.groupBy("region").applyInArrow(_leaf(percent), LINKS))
+        most = over.agg(F.max("members")).first()[0]
+        if not most:
+            return found
+        large = large.join(over.select("region"), "region", "left_semi")
+        if before is not None and most > 0.8 * before:
             paired = _in_block_pairs(large, leaf)
-            found.append(paired.groupBy("region").applyInArrow(_leaf(percent), LINKS))
-            break
-        before = totals[1]
-        members = scratch.written(_divided(large, pivots, leaf, percent), "regions")
-    out = found[0]
-    for part in found[1:]:
-        out = out.union(part)
-    return out if found else spark.createDataFrame([], LINKS)
+            return found.union(paired.groupBy("region").applyInArrow(_leaf(percent), LINKS))
+        before = most
 
 
-def cluster(
-    documents: DataFrame, size: int = WORDS, percent: int = PERCENT, leaf: int = LEAF,
-    pivots: int = PIVOTS, block_bytes: int = base.BLOCK_BYTES,
+def _keyed_clusters(
+    documents: DataFrame, size: int, percent: int, leaf: int, pivots: int, block_bytes: int
 ) -> DataFrame:
-    """doc_id, n_shingles and component_id of every row; component_id is the smallest doc_id
-    reachable by links.
-
-    Rows without words (NULL or empty text) have no shingles and are their own component.
-    Rows with equal words are linked; so are rows that repeat a doc_id with linked texts, each
-    row having its own text's component. A NULL doc_id takes no part in the smallest; a
-    component without any other has NULL.
-    """
+    """Per row: doc_id, key, n_shingles, component_id and the least key of its component."""
     info = scratch.written(counted(documents, size, block_bytes), "shingle-counts")
     sets = scratch.written(candidates(documents, info, size, percent), "shingles")
     found = scratch.written(links(sets, percent, leaf, pivots, block_bytes), "region-links")
@@ -429,31 +470,101 @@ def cluster(
         "first-copies",
     )
     named = sets.select("node", "key").join(groups, "node").join(first, "key")
-    least = named.groupBy("component").agg(F.min("first").alias("least"))
-    joined = named.join(least, "component").groupBy("key").agg(F.min("least").alias("least"))
+    least = named.groupBy("component").agg(
+        F.min("first").alias("least"), F.min("key").alias("least_key")
+    )
+    joined = named.join(least, "component").select("key", "least", "least_key")
     # as a table, so that the last join shuffles both sides and can split a key of many copies
     of_key = scratch.written(
         first.join(joined, "key", "left").select(
-            "key", F.coalesce("least", "first").alias("component_id")
+            "key", F.coalesce("least", "first").alias("component_id"),
+            F.coalesce("least_key", "key").alias("least_key"),
         ),
         "components",
-    )
+    )
     return info.join(of_key, "key", "left").select(
         "doc_id",
+        "key",
         "n_shingles",
         F.when(F.col("key").isNull(), F.col("doc_id"))
         .otherwise(F.col("component_id"))
         .alias("component_id"),
+        "least_key",
     )
 
 
-def keep_one(documents: DataFrame, **options) -> DataFrame:
-    """One row of each component: a row of the document that names it. Rows without words or
-    without a doc_id stay; of rows that repeat the naming doc_id all stay."""
-    found = cluster(documents.select("doc_id", "text"), **options)
-    gone = (
-        found.filter(F.col("doc_id").isNotNull() & (F.col("doc_id") != F.col("component_id")))
-        .select(F.col("doc_id").alias("_gone"))
-        .distinct()
+def cluster(
+    documents: DataFrame, size: int = WORDS, percent: int = PERCENT, leaf: int = LEAF,
+    pivots: int = PIVOTS, block_bytes: int = base.BLOCK_BYTES,
+) -> DataFrame:
+    """doc_id, n_shingles and component_id of every row; component_id is the smallest doc_id
+    reachable by links.
+
+    Rows without words (NULL or empty text) have no shingles and are their own component.
+    Rows with equal words are linked; so are rows that repeat a doc_id with linked texts, each
+    row having its own text's component. Rows without a doc_id are linked like others, but a
+    NULL is not the smallest; a component without any other has NULL.
+    """
+    found = _keyed_clusters(documents, size, percent, leaf, pivots, block_bytes)
+    return found.select("doc_id", "n_shingles", "component_id")
+
+
+def _with_key(documents: DataFrame, name: str) -> DataFrame:
+    """The rows with the key of their text."""
+    kind = T.StructType([*documents.schema.fields, T.StructField(name, T.StringType())])
+    arrow = to_arrow_schema(kind)
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block in base.blocks(batches):
+            keys = pa.array([key(tokens(t)) for t in base.texts_as_bytes(block)], pa.string())
+            columns = [block.column(i).combine_chunks() for i in range(block.num_columns)]
+            cast = [c.cast(f.type) for c, f in zip([*columns, keys], arrow, strict=True)]
+            yield pa.RecordBatch.from_arrays(cast, schema=arrow)
+
+    return documents.mapInArrow(run, kind)
+
+
+def keep_one(
+    documents: DataFrame, size: int = WORDS, percent: int = PERCENT, leaf: int = LEAF,
+    pivots: int = PIVOTS, block_bytes: int = base.BLOCK_BYTES,
+) -> DataFrame:
+    """The rows of one document of each component: of the one whose doc_id names it, or of the
+    one with the least key, where no document of the component has an id. Rows without words
+    stay; so do all rows that repeat the id and the words of the document that stays, and with
+    the naming id, linked rows of other words.
+    """
+    texts = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
+    found = scratch.written(
+        _keyed_clusters(texts, size, percent, leaf, pivots, block_bytes)
+        .filter("key is not null")
+        .withColumn(
+            "stays",
+            F.when(F.col("component_id").isNull(), F.col("key") == F.col("least_key"))
+            .otherwise(F.col("doc_id").eqNullSafe(F.col("component_id"))),
+        )
+        .select("doc_id", "key", "stays"),
+        "decisions",
+    )
+    gone = found.filter("not stays").select(F.col("doc_id").alias("_gone"), "key").distinct()
+    # ids whose rows share one decision need no look at their texts
+    kept_too = found.filter("stays").select(F.col("doc_id").alias("_gone")).distinct()
+    unclear = scratch.written(
+        gone.join(kept_too, "_gone", "left_semi").union(gone.filter("_gone is null")), "unclear"
+    )
+    sure = gone.select("_gone").filter("_gone is not null").distinct()
+    sure = sure.join(unclear.select("_gone"), "_gone", "left_anti")
+    doc_id = documents["doc_id"].cast("bigint")
+    kept = documents.join(sure, doc_id == sure["_gone"], "left_anti")
+    if unclear.isEmpty():
+        return kept
+    ids = unclear.select(F.col("_gone").alias("_id")).distinct()
+    name = f"key_{uuid.uuid4().hex}"
+    rest = kept.join(ids, kept["doc_id"].cast("bigint").eqNullSafe(ids["_id"]), "left_semi")
+    clear = kept.join(ids, kept["doc_id"].cast("bigint").eqNullSafe(ids["_id"]), "left_anti")
+    keyed = _with_key(rest, name)
+    decided = keyed.join(
+        unclear,
+        keyed["doc_id"].cast("bigint").eqNullSafe(unclear["_gone"]) & (keyed[name] == unclear["key"]),
+        "left_anti",
     )
-    return documents.join(gone, documents["doc_id"] == gone["_gone"], "left_anti")
+    return clear.unionByName(decided.drop(name))

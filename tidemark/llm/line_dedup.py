@@ -13,7 +13,6 @@ all others, so each repeated run of at least that many lines is found, wherever
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
@@ -93,15 +92,9 @@ def _laid_out(documents: DataFrame, *further: Column) -> DataFrame:
         F.md5(text.cast("binary")).alias("_digest"),
         *further,
     )
-    name = f"lines_{uuid.uuid4().hex}"
-    (
-        keyed.repartition(parts, *OWN)
-        .write.bucketBy(parts, *OWN)
-        .option("path", scratch.scratch_path(spark, "lines"))
-        .saveAsTable(name)
-    )
+    table = scratch.bucketed(keyed, "lines", parts, OWN)
     stored = F.col(f"c{names.index('text')}").cast("string")
-    return spark.table(name).withColumn("_text", F.coalesce(stored, F.lit("")))
+    return table.withColumn("_text", F.coalesce(stored, F.lit("")))
 
 
 def _marked(documents: DataFrame, rolling: int, spacing: int, min_lines: int) -> DataFrame:
@@ -365,3 +358,12 @@ def remove_runs(documents: DataFrame, min_lines: int = MIN_LINES) -> DataFrame:
     """The rows without the lines that ``find_runs`` counts; columns as ``remove`` gives them."""
     marked = _marked_runs(documents, min_lines)
     return _with_left(documents, marked, _left_over(F.col("_text"), F.col("_gone")))
+
+
+def remove_repeats(
+    documents: DataFrame, rolling: int = ROLLING, spacing: int = SPACING, min_lines: int = MIN_LINES
+) -> DataFrame:
+    """The rows without repeated chunks, and then without the repeated runs of lines in which
+    no whole chunk lies: of both ``remove`` and ``remove_runs``."""
+    cleaned = remove(documents, rolling, spacing, min_lines)
+    return remove_runs(scratch.written(cleaned, "without-chunks"), min_lines)
