@@ -22,13 +22,9 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def line_deduplication(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, without the runs of lines that an earlier document has."""
-    return line_dedup.remove(docs)
-
-
-def line_runs(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, without the repeated runs of lines that no whole chunk covers."""
-    return line_dedup.remove_runs(docs)
+    """All documents, without the chunks of lines that an earlier document has, and without
+    the shorter repeated runs that no whole chunk covers."""
+    return line_dedup.remove_repeats(docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -49,7 +45,6 @@ def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 STAGES = [
     ("quality classifier", quality_classifier),
     ("line dedup", line_deduplication),
-    ("line runs", line_runs),
     ("n-gram Jaccard join", near_duplicates),
     ("benchmark decontamination", benchmark_decontamination),
     ("best-fit packing", best_fit_packing),
@@ -62,5 +57,7 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = base.table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
-        docs = scratch.written(stage(spark, docs, sf_dir), f"stage-{name.replace(' ', '-')}")
+        with scratch.lifetime(spark):  # what a stage writes besides its rows goes with it
+            rows = stage(spark, docs, sf_dir)
+            docs = scratch.written(rows, f"stage-{name.replace(' ', '-')}", outside=True)
     return STAGES[-1][1](spark, docs, sf_dir)
