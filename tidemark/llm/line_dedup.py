@@ -98,12 +98,14 @@ def _laid_out(documents: DataFrame, *further: Column) -> DataFrame:
 
 
 def _marked(documents: DataFrame, rolling: int, spacing: int, min_lines: int) -> DataFrame:
-    """The rows, and in ``_gone`` the first and end lines of the chunks to remove.
+    """The rows, and in ``_gone`` the first and end lines of the chunks to remove. The rows are
+    moved once, into a table laid out by id and text."""
+    return _with_chunks(_laid_out(documents), rolling, spacing, min_lines)
 
-    The rows are moved once, into a table laid out by id and text. Chunks are counted by a
-    hash; only those that repeat are then read with their text and compared.
-    """
-    table = _laid_out(documents)
+
+def _with_chunks(table: DataFrame, rolling: int, spacing: int, min_lines: int) -> DataFrame:
+    """Rows that are laid out, and their chunks to remove. Chunks are counted by a hash; only
+    those that repeat are then read with their text and compared."""
     found = chunks(F.col("_text"), rolling, spacing, min_lines)
     several = F.col("_text").contains("\n")  # a chunk of a single line never goes
     listed = table.filter(several).select(*OWN, F.posexplode(found).alias("k", "chunk"))
@@ -195,9 +197,11 @@ def remove(
     return _with_left(documents, marked, left)
 
 
-def _with_left(documents: DataFrame, marked: DataFrame, left: Column) -> DataFrame:
+def _with_left(
+    documents: DataFrame, marked: DataFrame, left: Column, changed: Column | None = None
+) -> DataFrame:
     """The columns of the rows, with what is left of texts that changed."""
-    changed = F.col("_gone").isNotNull()
+    changed = F.col("_gone").isNotNull() if changed is None else changed
     cleaned = marked.withColumn("_left", F.when(changed, left))
     columns = []
     for i, field in enumerate(documents.schema.fields):
@@ -255,14 +259,15 @@ def _runs(repeats: Column, min_lines: int) -> Column:
 
 
 def _marked_runs(documents: DataFrame, min_lines: int) -> DataFrame:
-    """The rows, and in ``_gone`` the numbers of the lines to remove.
+    """The rows, and in ``_gone`` the numbers of the lines to remove. Texts are moved once."""
+    return _with_runs(_laid_out(documents, F.monotonically_increasing_id().alias("_row")), min_lines)
 
-    Texts are moved once; of those with repeated runs, the runs are moved to the rows where they
-    stand first and compared line by line.
-    """
+
+def _with_runs(table: DataFrame, min_lines: int) -> DataFrame:
+    """Rows that are laid out, and their lines to remove. Of texts with repeated runs, the runs
+    are moved to the rows where they stand first and compared line by line."""
     if min_lines < 1:
         raise ValueError("min_lines must be at least 1")
-    table = _laid_out(documents, F.monotonically_increasing_id().alias("_row"))
     lines = F.split("_text", "\n")
     # one row of each document; `<=`, as an equality would be taken for a key of the join
     least = table.groupBy(*OWN).agg(F.min("_row").alias("_least"))
@@ -364,6 +369,14 @@ def remove_repeats(
     documents: DataFrame, rolling: int = ROLLING, spacing: int = SPACING, min_lines: int = MIN_LINES
 ) -> DataFrame:
     """The rows without repeated chunks, and then without the repeated runs of lines in which
-    no whole chunk lies: of both ``remove`` and ``remove_runs``."""
-    cleaned = remove(documents, rolling, spacing, min_lines)
-    return remove_runs(scratch.written(cleaned, "without-chunks"), min_lines)
+    no whole chunk lies: what ``remove`` and ``remove_runs`` do, on one layout of the rows.
+    Where rows share a doc_id, the digest of the text as it came tells them apart in both."""
+    table = _laid_out(documents, F.monotonically_increasing_id().alias("_row"))
+    first = _with_chunks(table, rolling, spacing, min_lines)
+    kept = F.array_join(_kept_lines(F.col("_text"), F.col("_gone")), "\n")
+    without_chunks = first.withColumn("_cut", F.col("_gone").isNotNull()).withColumn(
+        "_text", F.when(F.col("_cut"), kept).otherwise(F.col("_text"))
+    )
+    marked = _with_runs(without_chunks.drop("_gone"), min_lines)
+    left = _left_over(F.col("_text"), F.col("_gone"))
+    return _with_left(documents, marked, left, F.col("_cut") | F.col("_gone").isNotNull())
