@@ -5,7 +5,7 @@ the places where tokens of both end cut either list of ids into groups that cove
 bytes. Ends are kept in a dictionary from end to index on either side; the sorted intersection
 of its keys gives the slices. A link is a pair of tokens that end together.
 
-A task turns a block of some megabytes of text into one row: its documents' columns, the
+A task turns a block of about a megabyte of text into one row: its documents' columns, the
 distinct id pairs of its links with their counts, and the links as numbers of those pairs.
 Only the distinct pairs of blocks are shuffled to be counted over the corpus, and only
 their counts come back to the block.
@@ -28,8 +28,8 @@ from tidemark.llm import base
 from tidemark.llm.byte_bpe import Encoder
 from tidemark.sources import scratch
 
-#: Bytes of text in a block.
-BLOCK_BYTES = 4 << 20
+#: Bytes of text in a block, which becomes one row of about as many.
+BLOCK_BYTES = 1 << 20
 #: A pair's code is A's id times this, plus B's id.
 SHIFT = 1 << 32
 BLOCK = (
@@ -156,6 +156,11 @@ class Aligner:
         return a[ends_a].astype(np.int64) * SHIFT + b[ends_b]
 
 
+def _narrow(pairs: int) -> type:
+    """The numbers of so many pairs need no more."""
+    return np.uint16 if pairs <= 1 << 16 else np.uint32
+
+
 def _block(aligner: Aligner, ids: list, texts: Iterable[str | None]) -> dict:
     out: dict[str, list] = {
         name: [] for name in ("n_a", "n_b", "n_groups", "groups_sha256", "n_links")
@@ -176,8 +181,8 @@ def _block(aligner: Aligner, ids: list, texts: Iterable[str | None]) -> dict:
         np.concatenate(codes), return_inverse=True, return_counts=True
     )
     return {
-        "doc_id": ids, **out, "links": links.astype(np.uint32).tobytes(), "pairs": pairs,
-        "counts": counts,
+        "doc_id": ids, **out, "links": links.astype(_narrow(len(pairs))).tobytes(),
+        "pairs": pairs, "counts": counts,
     }
 
 
@@ -246,8 +251,8 @@ def align(
             for i in range(batch.num_rows):
                 row = {c: batch.column(c).slice(i, 1) for c in batch.schema.names}
                 columns = {c: row[c].flatten() for c in (*names, "groups_sha256")}
-                links = np.frombuffer(row["links"][0].as_py(), np.uint32)
                 n = row["n"].flatten().to_numpy()
+                links = np.frombuffer(row["links"][0].as_py(), _narrow(len(n)))
                 best = row["best"].flatten().to_numpy(zero_copy_only=False)
                 ends = np.cumsum(columns["n_links"].to_numpy())
                 sums = []
