@@ -54,6 +54,11 @@ def test_toxicity_on_held_out_rows(spark, sf_dir):
     scores, labels, rows = held_out(spark, folder, found, "toxic", 3, 1)
     assert auc(scores, labels) > 0.99
     assert (scores[labels == 0] >= 0.7).mean() < 0.01
+    assert (scores[labels == 1] >= 0.7).mean() > 0.9
+    chars = spark.read.parquet(f"{folder}/documents.parquet").filter("n_chars > 3000")
+    long = {r.doc_id for r in chars.select("doc_id").collect()}
+    is_long = np.array([r.doc_id in long for r in rows])
+    assert (scores[(labels == 0) & is_long] >= 0.7).mean() < 0.01  # length adds no alarms
     assert all(r.predicted == int(r.score >= 0.7) for r in rows)
 
 

@@ -1,0 +1,208 @@
+"""The scores of the three classifiers, one text at a time by plain loops."""
+
+import math
+import random
+
+import numpy as np
+import pytest
+
+from tidemark.llm import language_id, quality, toxicity
+
+M64 = (1 << 64) - 1
+STEP, MIX = int(toxicity.STEP), int(toxicity.MIX)
+TEXTS = [
+    None, "", "...", "a", "Worthless IDIOT worthless", "the café naïve 123_4 \U0001f642 日本語",
+    "one two three four five six seven eight nine ten", "x" * 300, "word " * 2000 + "idiot",
+    "a\nb\n\na\nb\n", "UPPER lower 12,34; $% end. end! end?", " \t\n ", "İı ß",
+]
+SCHEMA = "doc_id bigint, text string, n_chars bigint, lang string"
+
+
+@pytest.fixture(scope="module")
+def frame(spark):
+    rows = [(i, t, None if i == 3 else len(t or "") - (i == 4) * 99, "en") for i, t in enumerate(TEXTS)]
+    return spark.createDataFrame(rows, SCHEMA)
+
+
+@pytest.fixture(scope="module")
+def documents(spark, sf_dir):
+    return (
+        spark.read.parquet(f"{sf_dir}/documents.parquet"),
+        spark.read.parquet(f"{sf_dir}/labels.parquet"),
+    )
+
+
+def some(spark, documents, frame):
+    """The odd texts and the first documents."""
+    return frame.unionByName(documents[0].select(frame.columns).orderBy("doc_id").limit(25))
+
+
+def grams(word):
+    letters = [ord(c) for c in f"<{word}>"]
+    codes = []
+    for n in toxicity.GRAMS:
+        for i in range(len(letters) - n + 1):
+            code = 0
+            for letter in letters[i : i + n]:
+                code = (code * STEP + letter + 1) & M64
+            codes.append((code + n) & M64)
+    codes.append(sum((letter * STEP & M64) ^ (i * MIX & M64) for i, letter in enumerate(letters)) & M64)
+    out = []
+    for code in codes:
+        code = code * MIX & M64
+        out.append((((code ^ code >> 32) * STEP & M64) >> 40) % toxicity.BUCKETS)
+    return out
+
+
+def test_toxicity(spark, documents, frame):
+    model = toxicity.fit(*documents, 60)
+    direction = model["softmax"][:, 1] - model["softmax"][:, 0]
+    weight = (model["embeddings"] @ direction).astype(np.float64)
+    bias = float(model["bias"][1] - model["bias"][0])
+    table = some(spark, documents, frame)
+    expected = {}
+    for row in table.collect():
+        words = toxicity.split((row.text or "").encode())
+        scores = []
+        for at in range(0, len(words), toxicity.SEGMENT):
+            bag = [g for word in words[at : at + toxicity.SEGMENT] for g in grams(word)]
+            scores.append(sum(weight[g] for g in bag) / len(bag))
+        z = max(scores, default=None)
+        expected[row.doc_id, row.text] = 0.0 if z is None else 1 / (1 + math.exp(-(z + bias)))
+    found = toxicity.score(table, model).collect()
+    assert len(found) == table.count()
+    texts = sorted(expected.values())
+    assert sorted(r.score for r in found) == pytest.approx(texts, abs=1e-6)
+    assert all(r.predicted == int(r.score >= 0.7) for r in found)
+
+
+def bundle(text):
+    letters = [0]
+    for c in text or "":
+        if c.isalpha():
+            letters.append(ord(c.lower()) if len(c.lower()) == 1 else ord(c))
+        elif letters[-1]:
+            letters.append(0)
+    if letters[-1]:
+        letters.append(0)
+    total = np.zeros(language_id.DIMENSIONS, np.int64)
+    for a, b, c in zip(letters, letters[1:], letters[2:], strict=False):
+        va, vb, vc = (language_id.letter_vector(x).astype(np.int64) for x in (a, b, c))
+        total += np.roll(va, 2) * np.roll(vb, 1) * vc
+    return total
+
+
+def test_language(spark, documents, frame):
+    names, prototypes = language_id.fit(documents[0], 40)
+    table = some(spark, documents, frame)
+    found = {(r.doc_id, i): r for i, r in enumerate(language_id.predict(table, (names, prototypes)).collect())}
+    rows = table.collect()
+    assert len(found) == len(rows)
+    for (_, i), r in found.items():
+        vector = bundle(rows[i].text).astype(np.float64)
+        assert r.doc_id == rows[i].doc_id
+        if not vector.any():
+            assert (r.lang_pred, r.score) == ("und", 0.0)
+            continue
+        cosines = prototypes.astype(np.float64) @ vector / np.linalg.norm(vector)
+        assert cosines[names.index(r.lang_pred)] == pytest.approx(cosines.max(), abs=1e-5)
+        assert r.score == pytest.approx(max(0, cosines.max()), abs=1e-5)
+
+
+def test_prototypes_are_bundles_of_documents(spark):
+    rows = [(i, t, 0, lang) for i, (t, lang) in enumerate(
+        [("the cat", "a"), ("the dog", "a"), ("le chat", "b"), (None, "b"), ("1 2", "c"), ("x y", None)] * 9)]
+    names, prototypes = language_id.fit(spark.createDataFrame(rows, SCHEMA))
+    kept = [r for r in rows if __import__("zlib").crc32(str(r[0]).encode()) % 5 and r[1] and r[3]]
+    assert names == ["a", "b"]
+    for name, prototype in zip(names, prototypes, strict=True):
+        total = sum(bundle(r[1]) for r in kept if r[3] == name).astype(np.float64)
+        assert prototype == pytest.approx(total / np.linalg.norm(total), abs=1e-6)
+
+
+def test_equal_cosines_take_the_first_language(spark, frame):
+    vector = bundle("the cat") / np.linalg.norm(bundle("the cat"))
+    model = (["x", "y"], np.array([vector, vector], np.float32))
+    rows = language_id.predict(frame.filter("doc_id in (4, 6)"), model).collect()
+    assert [r.lang_pred for r in rows] == ["x", "x"]
+
+
+def kinds(text):
+    names = {"upper": 0, "lower": 0, "digit": 0, "space": 0, "line": 0, "end": 0, "comma": 0,
+             "symbol": 0, "other": 0}
+    for b in text:
+        c = chr(b)
+        if b >= 128:
+            names["other"] += 1
+        elif c.isupper():
+            names["upper"] += 1
+        elif c.islower():
+            names["lower"] += 1
+        elif c.isdigit():
+            names["digit"] += 1
+        elif c in " \t\r":
+            names["space"] += 1
+        elif c == "\n":
+            names["line"] += 1
+        elif c in ".!?":
+            names["end"] += 1
+        elif c in ",;:'\"()-":
+            names["comma"] += 1
+        elif c.isprintable():
+            names["symbol"] += 1
+        else:
+            names["other"] += 1
+    return names
+
+
+def inputs(text, n_chars):
+    """Pairs of input and value."""
+    top = quality.BINS - 1
+    share = lambda part, whole, scale: min(top, int(scale * part / max(whole, 1)))
+    size = lambda n: min(top - 1, int(n).bit_length())
+    k, words, lines = kinds(text), text.lower().split(), text.split(b"\n")
+    buckets = [quality.bucket(w) for w in words]
+    counts = {b: buckets.count(b) for b in set(buckets)}
+    filled = len(text) - k["space"] - k["line"]
+    n = len(words)
+    bins = [
+        size(n), top if n_chars is None else size(max(0, n_chars)),
+        share(k["upper"], k["upper"] + k["lower"], 20), share(k["digit"], filled, 40),
+        share(k["end"], filled, 60), share(k["comma"], filled, 60), share(k["symbol"], filled, 60),
+        share(k["other"], filled, 20), share(len(counts), n, 30),
+        share(max(counts.values(), default=0), n, 30),
+        share(sum(a == b for a, b in zip(buckets, buckets[1:], strict=False)), n, 30),
+        min(top, filled // max(n, 1)), share(len(set(lines)), len(lines), 30),
+        size(len(text) // len(lines)),
+    ]
+    length = math.sqrt(sum(c * c for c in counts.values()))
+    out = [(b, c / length) for b, c in counts.items()]
+    return out + [(quality.WORD_BUCKETS + quality.BINS * i + b, 1.0) for i, b in enumerate(bins)]
+
+
+def test_quality(spark, documents, frame):
+    model = quality.fit(*documents, 60)
+    dice = np.random.default_rng(3)
+    model["v"] += 0.05 * dice.standard_normal(model["v"].shape).astype(np.float32)
+    w, v = model["w"].astype(np.float64), model["v"].astype(np.float64)
+    table = some(spark, documents, frame)
+    found, rows = quality.score(table, model).collect(), table.collect()
+    for r, row in zip(found, rows, strict=True):
+        x = inputs((row.text or "").encode(), row.n_chars)
+        z = float(model["w0"][0]) + sum(w[i] * value for i, value in x)
+        vectors = [v[i] * value for i, value in x]
+        if len(x) <= 60:  # every pair of inputs
+            z += sum(a @ b for n, a in enumerate(vectors) for b in vectors[:n])
+        else:
+            total = sum(vectors)
+            z += (total @ total - sum(a @ a for a in vectors)) / 2
+        assert r.doc_id == row.doc_id
+        assert r.score == pytest.approx(1 / (1 + math.exp(-z)), abs=2e-3)
+
+
+def test_random_words_have_the_grams_of_plain_loops():
+    pick = random.Random(2)
+    words = ["".join(pick.choice("abé日\U0001f642z") for _ in range(pick.randint(1, 9))) for _ in range(60)]
+    found, starts = toxicity.subwords(words)
+    bags = np.split(found, starts[1:])
+    assert [sorted(b.tolist()) for b in bags] == [sorted(grams(w)) for w in words]

@@ -1,10 +1,11 @@
 """Toxicity of a document by subword-bag embeddings and a linear softmax.
 
 A word is the bag of its character n-grams and itself, each hashed to a row of an embedding
-table. The rows of a few consecutive words (a segment) are averaged and a linear softmax over
+table. The rows of ``SEGMENT`` consecutive words are averaged and a linear softmax over
 {clean, toxic} reads the average; a document is as toxic as its most toxic segment, so that
 length does not dilute it. Embeddings and softmax are trained together on the documents'
-labels: while training, segments are weighed by how toxic they look, ever more sharply.
+labels: while training, segments are weighed by how toxic they look, ever more sharply, and
+toxic documents count ``TOXIC_WEIGHT`` times, since a toxic word shares its segment with others.
 Misspelled words share most of their n-grams with the right ones, and so their vectors.
 """
 
@@ -23,7 +24,8 @@ from tidemark.llm import base, fitting
 BUCKETS = 1 << 17
 DIMENSIONS = 8
 GRAMS = (2, 3, 4, 5)
-SEGMENT = 1
+SEGMENT = 3
+TOXIC_WEIGHT = 8.0
 THRESHOLD = 0.7
 ROWS_PER_CLASS = 4_000
 SCHEMA = "doc_id bigint, held_out boolean, score double, predicted int"
@@ -95,7 +97,7 @@ def train(
     texts: list[bytes], n_chars: list, labels: np.ndarray, epochs: int = 120, rate: float = 0.05,
     dropout: float = 0.3, decay: float = 1e-6,
 ) -> dict[str, np.ndarray]:
-    """Fit embeddings and softmax together; classes weigh as they occur.
+    """Fit embeddings and softmax together.
 
     In each epoch a word has only some of its n-grams, so that no single one decides: what is
     left of a misspelled word must be enough.
@@ -110,6 +112,7 @@ def train(
         return model
     filled = lengths > 0
     labels, lengths = labels[filled], lengths[filled]
+    weights = np.where(labels == 1, np.float32(TOXIC_WEIGHT), np.float32(1))
     grams, word_starts = subwords(words)
     grams_of = np.diff(np.append(word_starts, len(grams)))
     begins, first = segments(lengths)
@@ -130,7 +133,7 @@ def train(
         share /= np.repeat(np.add.reduceat(share, first), per_text)
         pooled = np.add.reduceat(share * z, first)
         logit = pooled + bias[1] - bias[0]
-        error = (fitting.sigmoid(logit) - labels) / len(labels)
+        error = (fitting.sigmoid(logit) - labels) * weights / len(labels)
         on_segment = np.repeat(error, per_text) * share / size
         on_word = np.bincount(numbers, np.repeat(on_segment, words_in), len(words))
         on_gram = np.bincount(grams, np.repeat(on_word, grams_of) * kept, BUCKETS)
