@@ -1,10 +1,15 @@
 """Which hashes of a document occur elsewhere, found with sorted arrays instead of rows.
 
-Tasks send the hashes of a block of documents as sorted arrays, cut by hash range into as many
-buckets as the session has shuffle partitions. A bucket holds all occurrences of its range, so
-it knows which hashes repeat and answers each block; the answers of a block are put together.
-A hash that occurs very often is an entry per occurrence like any other, spread by nothing
-but its documents' blocks, and is never a group of its own.
+Tasks send the hashes of a block of documents as sorted arrays, cut by hash range into buckets:
+as many as the session has shuffle partitions, or more if the input would overfill them.
+A bucket holds all occurrences of its range, so it knows which hashes repeat and answers each
+block; the answers of a block are put together. A hash that occurs very often is an entry per
+occurrence like any other, spread by nothing but its documents' blocks, and is never a group
+of its own.
+
+A block is named by its task, its place and its content, and every message says how many
+the block has sent. Should a task that is run again meet its rows in another order, its blocks
+have other names, and the join of the answers fails instead of mixing them.
 """
 
 from __future__ import annotations
@@ -13,18 +18,22 @@ from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.llm import base
 
+#: Bytes of input whose hashes share a bucket, at most on average.
+BUCKET_BYTES = 32 << 20
 ASKED = (
-    "bucket int, block string, hashes binary, owners binary, ids array<bigint>, "
+    "bucket int, block string, parts int, hashes binary, owners binary, ids array<bigint>, "
     "keys array<string>"
 )
 ANSWERED = (
-    "block string, totals binary, shared binary, listed binary, holders binary, "
+    "block string, parts int, totals binary, shared binary, listed binary, holders binary, "
     "ids array<bigint>, keys array<string>"
 )
 MERGED = "id bigint, key string, n bigint, n_shared bigint, shared array<bigint>"
@@ -92,23 +101,47 @@ def of_texts(
     return make
 
 
+def bucket_count(spark: SparkSession, total_bytes: int, bucket_bytes: int = BUCKET_BYTES) -> int:
+    """Shuffle partitions, or as many buckets as so much input needs."""
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return max(partitions, -(-total_bytes // bucket_bytes))
+
+
+def bytes_of(rows: DataFrame, column: str) -> int:
+    """The bytes of a column of texts or of lists of numbers."""
+    is_list = isinstance(rows.schema[column].dataType, T.ArrayType)
+    size = 8 * F.size(column).cast("bigint") if is_list else F.octet_length(column).cast("bigint")
+    return rows.agg(F.sum(F.greatest(size, F.lit(0)))).first()[0] or 0
+
+
+def _block_name(place: str, ids: list, lengths: np.ndarray, hashes: np.ndarray) -> str:
+    """The place of a block, and a digest of what it sends."""
+    digest = xxhash.xxh3_128(repr(ids).encode())
+    digest.update(lengths.tobytes())
+    digest.update(hashes.tobytes())
+    return f"{place}-{digest.hexdigest()}"
+
+
 def shared(
     rows: DataFrame,
     hashes_of: Callable[[], Callable[[pa.Table], Hashes]],
     listed: bool = False,
     often: int = 1 << 62,
     block_bytes: int = base.BLOCK_BYTES,
+    total_bytes: int | None = None,
+    bucket_bytes: int = BUCKET_BYTES,
 ) -> DataFrame:
     """For rows of id and text (or another column): the id, a key, how many hashes the text
     has, how many of them occur more than once in the table, and these if they are
     ``listed``, from rare to frequent.
 
     ``hashes_of`` makes, once a task, the function that gives keys and hashes of a block of
-    rows. Blocks are named by task and place, so the rows must come in the same order if a
-    task is run again, as those of a table do.
+    rows. ``rows`` should come from a table, whose order lasts if a task is run again. The
+    number of buckets follows ``total_bytes``, which are counted unless they are given.
     """
     column = next(name for name in rows.columns if name != "id")
-    buckets = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    total = bytes_of(rows, column) if total_bytes is None else total_bytes
+    buckets = bucket_count(rows.sparkSession, total, bucket_bytes)
 
     def ask(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         of_block = hashes_of()
@@ -117,21 +150,26 @@ def shared(
         for block_no, block in enumerate(base.blocks(batches, column, block_bytes)):
             found = of_block(block)
             hashes = np.concatenate([h for _, h in found])
-            owners = np.repeat(np.arange(len(found), dtype=np.uint32), [len(h) for _, h in found])
+            lengths = np.array([len(h) for _, h in found], np.int64)
+            owners = np.repeat(np.arange(len(found), dtype=np.uint32), lengths)
+            ids = block.column("id").to_pylist()
+            name = _block_name(f"{task}-{block_no}", ids, lengths, hashes)
             order = np.argsort(hashes)
             hashes, owners = hashes[order], owners[order]
             narrow = owners.astype(np.uint16) if len(found) < 1 << 16 else owners
             ends = np.concatenate([[0], np.searchsorted(hashes, limits), [len(hashes)]])
             out = []
-            for bucket in np.flatnonzero(np.diff(ends)).tolist() or [block_no % buckets]:
+            used = np.flatnonzero(np.diff(ends)).tolist() or [block_no % buckets]
+            for bucket in used:
                 part = slice(ends[bucket], ends[bucket + 1])
                 out.append(
                     {
                         "bucket": bucket,
-                        "block": f"{task}-{block_no}",
+                        "block": name,
+                        "parts": len(used),
                         "hashes": pack_sorted(hashes[part]),
                         "owners": narrow[part].tobytes(),
-                        "ids": None if out else block.column("id").to_pylist(),
+                        "ids": None if out else ids,
                         "keys": None if out else [key for key, _ in found],
                     }
                 )
@@ -154,6 +192,7 @@ def shared(
             out.append(
                 {
                     "block": p["block"],
+                    "parts": p["parts"],
                     "totals": np.bincount(owners).astype(np.uint32).tobytes(),
                     "shared": np.bincount(owners[n > 1]).astype(np.uint32).tobytes(),
                     "listed": chosen.tobytes() if listed else b"",
@@ -166,6 +205,10 @@ def shared(
 
     def merge(answers: pa.Table) -> pa.Table:
         parts = answers.to_pylist()
+        if len(parts) != parts[0]["parts"]:
+            raise RuntimeError(
+                "a task that was run again met its rows in another order; write them to a table"
+            )
         named = next(p for p in parts if p["ids"] is not None)
         n = len(named["ids"])
         sums = {name: np.zeros(n, np.int64) for name in ("totals", "shared")}

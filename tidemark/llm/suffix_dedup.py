@@ -27,7 +27,6 @@ from __future__ import annotations
 
 import hashlib
 import tempfile
-import uuid
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -304,22 +303,20 @@ def _with_runs(
         F.md5(F.col("text").cast("binary")).alias("digest"),
         "text",
     )
-    name = f"texts_{uuid.uuid4().hex}"
-    (
-        laid_out.repartition(parts, "digest", "rid")
-        .write.bucketBy(parts, "digest", "rid")
-        .option("path", scratch.scratch_path(spark, "texts"))
-        .saveAsTable(name)
-    )
-    texts = spark.table(name)
+    texts = scratch.bucketed(laid_out, "texts", parts, ["digest", "rid"])
     first = scratch.written(
-        texts.groupBy("digest")
-        .agg(F.min("rid").alias("rid"), F.count("*").alias("copies"),
-             F.first(F.octet_length("text")).alias("bytes"))
+        texts.groupBy("digest", "rid")
+        .agg(F.count("*").alias("rows"), F.first(F.octet_length("text")).alias("bytes"))
+        .groupBy("digest")
+        .agg(F.min(F.struct("rid", "rows")).alias("least"), F.sum("rows").alias("copies"),
+             F.first("bytes").alias("bytes"))
         .filter(F.col("bytes") >= length)
-        .select("digest", "rid", "copies", F.monotonically_increasing_id().alias("node")),
+        .select("digest", "least.*", "copies", "bytes",
+                F.monotonically_increasing_id().alias("node")),
         "first-texts",
     )
+    sizes = first.agg(F.sum(F.col("bytes").cast("bigint")), F.max("rows")).first()
+    total, rows_alike = sizes[0] or 0, sizes[1] or 1
 
     def maker():
         def of_text(content: bytes) -> tuple[None, np.ndarray]:
@@ -331,14 +328,17 @@ def _with_runs(
         F.col("node").alias("id"), "text"
     )
     repeated = exchange.shared(
-        members, exchange.of_texts(maker), listed=True, often=often, block_bytes=block_bytes
+        members, exchange.of_texts(maker), listed=True, often=often, block_bytes=block_bytes,
+        total_bytes=total,
     )
     repeated = repeated.filter("n_shared > 0").select(F.col("id").alias("node"), "shared")
+    if rows_alike > 1:  # rows of equal id and text are one member
+        repeated = repeated.dropDuplicates(["node"])
     wanted = scratch.written(first.join(repeated, "node"), "repeated-anchors")
     fragments = (
         texts.join(wanted, ["digest", "rid"])
         .select("node", "copies", "shared", "text")
-        .mapInArrow(_fragments(parts, length, gram), FRAGMENTS)
+        .mapInArrow(_fragments(exchange.bucket_count(spark, total), length, gram), FRAGMENTS)
     )
     runs = (
         fragments.groupBy("part")
