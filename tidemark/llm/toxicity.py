@@ -50,7 +50,7 @@ def subwords(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
     owners, found = [], []
     with np.errstate(over="ignore"):
         code = np.zeros(len(letters), np.uint64)
-        for n in range(1, max(GRAMS) + 1):
+        for n in range(1, min(max(GRAMS), len(letters)) + 1):  # one short word has no longer ones
             code[: len(letters) - n + 1] = (
                 code[: len(letters) - n + 1] * STEP + letters[n - 1 :] + np.uint64(1)
             )
