@@ -127,3 +127,35 @@ def test_sentiment_and_sentences(spark):
     ]
     assert [r.tokens for r in sentences.tokenised(own).collect()] == [["a", "b"]]
     assert sentences.reviews_of(df.withColumn("product_id", F.lit("x")), "x").count() == 6
+
+
+def test_batches_of_like_length():
+    lengths = [3, 1, 9, 1, 2, 100, 3, 0]
+    found = [b.tolist() for b in embed.batches_of(lengths, 9)]
+    assert sorted(i for b in found for i in b) == list(range(8))
+    for batch in found:
+        assert len(batch) == 1 or max(lengths[i] for i in batch) * len(batch) <= 9
+    assert [i for b in found for i in b] == sorted(range(8), key=lengths.__getitem__)
+    assert len(found) == 4 and list(embed.batches_of([], 5)) == []
+
+
+def test_encoder_is_loaded_once_per_worker(spark):
+    loads, sizes = spark.sparkContext.accumulator(0), spark.sparkContext.accumulator(0)
+
+    def load():
+        loads.add(1)
+
+        def encode(texts):
+            sizes.add(len(texts) * max(len(t.split()) for t in texts) > 40)
+            return np.array([[len(t), t.count("a")] for t in texts])
+
+        return encode
+
+    rows = [("s", i, 0, "a " * (i % 23 + 1)) for i in range(600)]
+    df = spark.createDataFrame(rows, SCHEMA).repartition(60)
+    found = embed.encoded_vectors(df, load, batch_tokens=40).collect()
+    assert {r.review_id: r.vector for r in found} == {
+        i: [float(len(t)), float(t.count("a"))] for _, i, _, t in rows
+    }
+    assert 0 < loads.value <= spark.sparkContext.defaultParallelism < 60
+    assert sizes.value == 0

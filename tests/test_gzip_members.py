@@ -5,8 +5,9 @@ import zlib
 
 import pytest
 from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
 
-from tidemark.sources import gzip_members, readers
+from tidemark.sources import gzip_members, readers, sinks
 
 
 def member(text, level=6):
@@ -107,9 +108,11 @@ def test_written_files_are_plain_gzip(spark, tmp_path):
     lines = spark.createDataFrame(rows, "value string").repartition(3)
     path = tmp_path / "out"
     gzip_members.write_lines(lines, str(path), "head", member_bytes=512)
-    assert sorted(p.name[:5] for p in path.iterdir()) == ["part-"] * 3
+    assert sorted(p.name[:5] for p in path.iterdir()) == ["_mani", *["part-"] * 3]
+    listed = gzip_members.manifest(spark, str(path)).collect()
+    assert sum(r.rows for r in listed) == 2000 and [r.number for r in listed] == [0, 1, 2]
     read = []
-    for file in path.iterdir():
+    for file in path.glob("*.gz"):
         content = file.read_bytes()
         assert content.count(gzip_members.HEADER) > 5
         text = gzip.GzipFile(fileobj=io.BytesIO(content)).read().decode()
@@ -137,3 +140,26 @@ def test_one_file_of_reviews_by_several_tasks(spark, tmp_path):
     assert many.columns == one.columns and many.dtypes == one.dtypes
     assert many.rdd.getNumPartitions() > 3 and one.rdd.getNumPartitions() == 1
     assert sorted(many.collect(), key=str) == sorted(one.collect(), key=str)
+
+
+def test_one_order_over_files(spark, tmp_path):
+    """Most rows are equal in the order, and are dealt to several files all the same."""
+    df = spark.range(4000, numPartitions=6).selectExpr(
+        "CASE WHEN id % 4 = 0 THEN id ELSE 1000 END k", "id", "concat('a\tb', id) t"
+    )
+    path = str(tmp_path / "out")
+    sinks.write_ordered(df, path, [F.desc("k")], 5, member_bytes=900)
+    listed = gzip_members.manifest(spark, path).collect()
+    assert len(listed) == 5 and max(r.rows for r in listed) < 1500
+    assert [r.file for r in listed] == sorted(r.file for r in listed)
+    found, _ = lines_read(spark, path, stretch_bytes=500)
+    assert len(found) == sum(r.rows for r in listed) == 4000
+    keys = [int(v.split("\t")[0]) for v in found]
+    assert keys == sorted(keys, reverse=True) and len(set(found)) == 4000
+    assert [found[0], found[-1]] == [listed[0].first, listed[-1].last]
+
+
+def test_nothing_to_write(spark, tmp_path):
+    path = str(tmp_path / "out")
+    sinks.write_ordered(spark.range(0), path, ["id"], 3)
+    assert gzip_members.manifest(spark, path).count() == 0

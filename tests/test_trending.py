@@ -90,3 +90,33 @@ def test_growth_against_brute_force_with_a_hot_key(spark, hot_rows, executed):
     top = [tuple(r) for r in trending.top_growth(
         spark.createDataFrame(hot_rows, VIDEO), 10).collect()]
     assert top == sorted(expected, key=lambda r: (-r[1], r[0], r[3]))[:10]
+
+
+def test_growth_in_the_order_of_the_lines(spark, tmp_path):
+    """Dates say otherwise; lines are compared as they stand, over files and blocks."""
+    from tidemark.sources import readers
+
+    def line(video, date, likes, dislikes):
+        fields = dict.fromkeys(readers.VIDEO_FIELDS, "x") | {
+            "video_id": video, "trending_date": date, "category": date, "likes": str(likes),
+            "dislikes": str(dislikes), "country": "US",
+        }
+        return ",".join(fields.values())
+
+    filler = [line(f"f{i}", "01.01.18", 0, 0) for i in range(400)]
+    (tmp_path / "a.csv").write_text("\n".join([line("v", "03.01.18", 10, 1), *filler]) + "\n")
+    (tmp_path / "b.csv").write_text(
+        "\n".join([*filler[:200], line("v", "02.01.18", 12, 9), line("v", "01.01.18", 0, 0)]) + "\n"
+    )
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    try:
+        videos = readers.read_videos(spark, str(tmp_path), arrival=True)
+        assert videos.rdd.getNumPartitions() > 4
+        found = {r.video_id: r for r in trending.growth(videos, readers.ARRIVAL).collect()}
+        by_date = {r.video_id: r for r in trending.growth(videos).collect()}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert (found["v"].growth, found["v"].category) == (8 - 2, "03.01.18")
+    assert (by_date["v"].growth, by_date["v"].category) == (9 - 12, "01.01.18")
+    assert videos.columns == [*readers.VIDEO_FIELDS, *readers.ARRIVAL]

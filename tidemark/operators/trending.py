@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -35,26 +37,30 @@ def countries_per_video_text(videos: DataFrame) -> DataFrame:
     )
 
 
-def sightings(videos: DataFrame) -> DataFrame:
+def sightings(videos: DataFrame, further: Sequence[str] = ()) -> DataFrame:
     """Key (video, country) and what was seen at a date."""
     return videos.select(
-        "video_id", "country", "trending_date", "category", "likes", "dislikes"
+        "video_id", "country", "trending_date", "category", "likes", "dislikes", *further
     )
 
 
-def growth(videos: DataFrame) -> DataFrame:
+#: Sightings by date and then by everything else; those without a date come last.
+BY_DATE = ("trending_date", "category", "likes", "dislikes")
+
+
+def growth(videos: DataFrame, order: Sequence[str] | None = None) -> DataFrame:
     """How much more the dislikes grew than the likes between the first two sightings.
 
     Keys seen once are left out; the category is that of the first sighting. Sightings are
-    ordered by date and then by everything else. Spark keeps two rows per key in every map
+    ordered by ``order`` (for instance ``readers.ARRIVAL``, the order of the lines in the
+    files), or by date and then by everything else. Spark keeps two rows per key in every map
     task (window group limit) before the shuffle, so hot keys cost nothing extra.
     """
     key = ["video_id", "country"]
-    in_order = Window.partitionBy(*key).orderBy(
-        F.asc_nulls_last("trending_date"), "category", "likes", "dislikes"
-    )
+    by_date = [F.asc_nulls_last(BY_DATE[0]), *BY_DATE[1:]]
+    in_order = Window.partitionBy(*key).orderBy(*(order or by_date))
     first_two = (
-        sightings(videos)
+        sightings(videos, order or ())
         .withColumn("rank", F.row_number().over(in_order))
         .filter(F.col("rank") <= 2)
     )
@@ -76,8 +82,10 @@ def growth(videos: DataFrame) -> DataFrame:
     )
 
 
-def top_growth(videos: DataFrame, k: int = 10) -> DataFrame:
-    return growth(videos).orderBy(F.desc("growth"), "video_id", "country").limit(k)
+def top_growth(
+    videos: DataFrame, k: int = 10, order: Sequence[str] | None = None
+) -> DataFrame:
+    return growth(videos, order).orderBy(F.desc("growth"), "video_id", "country").limit(k)
 
 
 def growth_fold() -> folding.Fold:

@@ -395,3 +395,31 @@ ORACLE["q51_exact_quantiles"] = """
     JOIN ordered b ON b.l_returnflag = w.l_returnflag AND b.place = ceil(spot)"""
 ORACLE["q52_folded_average"] = ORACLE["q31_average_rating_per_genre"]
 ORACLE["q53_folded_growth"] = ORACLE["q27_growth"]
+
+ORACLE["q55_bad_videos"] = """
+    SELECT CASE WHEN l_linenumber = 7 THEN 'trending_date' ELSE 'likes' END AS reason,
+           l_partkey::varchar AS video_id, count(*) AS lines
+    FROM lineitem WHERE l_linenumber = 7 OR l_returnflag = 'R' GROUP BY ALL"""
+ORACLE["q56_bad_ratings"] = """
+    SELECT CASE WHEN l_linenumber = 1 THEN 'fields' ELSE 'rating' END AS reason,
+           l_partkey::varchar AS movie_id, count(*) AS lines,
+           (SELECT count(*) FROM lineitem) AS all_lines
+    FROM lineitem WHERE l_linenumber = 1 OR l_returnflag = 'R' GROUP BY ALL"""
+ORACLE["q57_growth_by_arrival"] = """
+    WITH ordered AS (
+        SELECT l_partkey::varchar AS video_id, l_suppkey::varchar AS country,
+               l_returnflag AS category, trunc(l_quantity)::bigint AS likes,
+               trunc(l_extendedprice)::bigint AS dislikes,
+               row_number() OVER seen AS place, lead(trunc(l_quantity)::bigint) OVER seen AS next_likes,
+               lead(trunc(l_extendedprice)::bigint) OVER seen AS next_dislikes,
+               count(*) OVER (PARTITION BY l_partkey, l_suppkey) AS times
+        FROM lineitem WHERE l_linestatus <> 'O'
+        WINDOW seen AS (PARTITION BY l_partkey, l_suppkey ORDER BY l_orderkey, l_linenumber))
+    SELECT video_id, (next_dislikes - dislikes) - (next_likes - likes) AS growth,
+           category, country
+    FROM ordered WHERE place = 1 AND times > 1"""
+ORACLE["q58_ordered_files"] = f"""
+    SELECT row_number() OVER (ORDER BY growth DESC, video_id, country) - 1 AS position,
+           concat_ws(chr(9), video_id, growth, category, country) AS value,
+           count(*) OVER () AS all_rows
+    FROM ({GROWTH})"""

@@ -28,7 +28,7 @@ from tidemark.operators import (
     trending,
 )
 from tidemark.plans import tables as t
-from tidemark.sources import gzip_members, readers, scratch, sinks
+from tidemark.sources import gzip_members, quarantine, readers, scratch, sinks
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -560,3 +560,48 @@ def q53_folded_growth(spark, sf_dir):
 def q54_word2vec_neighbours(spark, sf_dir):
     """The ten nearest themselves: ids, centre and distance, which follow the fitted model."""
     return _word2vec_nearest(spark, sf_dir)[1]
+
+
+@query
+def q55_bad_videos(spark, sf_dir):
+    """The lines of q47's file that cannot be read, by reason and by the id they begin with."""
+    path = scratch.scratch_path(spark, "videos")
+    t.broken_videos(spark, sf_dir).write.option("header", True).csv(path)
+    bad = quarantine.videos(spark, path).bad
+    first = F.substring_index("line", ",", 1).alias("video_id")
+    return bad.groupBy("reason", first).agg(F.count("*").alias("lines"))
+
+
+@query
+def q56_bad_ratings(spark, sf_dir):
+    """The lines of q48's rating file that cannot be read, and how many there are of all."""
+    path = scratch.scratch_path(spark, "ratings")
+    t.item_rating_lines(spark, sf_dir).write.text(path)
+    found = quarantine.ratings(spark, path)
+    movie = F.get(F.split("line", ","), F.lit(1)).alias("movie_id")
+    rows = found.bad.groupBy("reason", movie).agg(F.count("*").alias("lines"))
+    return rows.select("*", F.lit(found.counts["lines"]).cast("bigint").alias("all_lines"))
+
+
+@query
+def q57_growth_by_arrival(spark, sf_dir):
+    """Growth between the first two lines of a key, as they stand in the files."""
+    path = scratch.scratch_path(spark, "videos")
+    lines = t.table(spark, sf_dir, "lineitem").repartitionByRange(4, "l_orderkey", "l_linenumber")
+    lines = lines.sortWithinPartitions("l_orderkey", "l_linenumber")
+    t.video_table(spark, sf_dir, lines).write.option("header", True).csv(path)
+    videos = readers.read_videos(spark, path, arrival=True)
+    return trending.growth(videos, readers.ARRIVAL)
+
+
+@query
+def q58_ordered_files(spark, sf_dir):
+    """Growth in one order over several files, read back by their names and lines; with the
+    number of rows that the manifest gives for all files."""
+    path = scratch.scratch_path(spark, "growth")
+    growth = trending.growth(t.videos(spark, sf_dir))
+    sinks.write_ordered(growth, path, [F.desc("growth"), "video_id", "country"], 3)
+    lines = gzip_members.read_lines(spark, path)
+    placed = positions.numbered(lines, ["path", "start", "number"])
+    listed = gzip_members.manifest(spark, path).agg(F.sum("rows")).first()[0]
+    return placed.select("position", "value", F.lit(listed).cast("bigint").alias("all_rows"))

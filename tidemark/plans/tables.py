@@ -148,7 +148,9 @@ def photos(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def video_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+def video_table(
+    spark: SparkSession, sf_dir: str, items: DataFrame | None = None
+) -> DataFrame:
     """Line items in the twelve columns of a video file."""
     date = F.col("l_shipdate")
     columns = {
@@ -165,9 +167,8 @@ def video_table(spark: SparkSession, sf_dir: str) -> DataFrame:
         "video_error_or_removed": F.lit(False),
         "country": F.when(F.col("l_linestatus") != "O", F.col("l_suppkey")),
     }
-    return table(spark, sf_dir, "lineitem").select(
-        *[columns[name].alias(name) for name in readers.VIDEO_FIELDS]
-    )
+    items = table(spark, sf_dir, "lineitem") if items is None else items
+    return items.select(*[columns[name].alias(name) for name in readers.VIDEO_FIELDS])
 
 
 def broken_videos(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -17,6 +17,7 @@ paths that Spark lists.
 
 from __future__ import annotations
 
+import json
 import uuid
 import zlib
 from collections.abc import Iterable, Iterator
@@ -46,6 +47,8 @@ READ_BYTES = 1 << 20
 LINES = 8192
 # Fixed value: how a member begins (two magic bytes, the deflate method).
 HEADER = b"\x1f\x8b\x08"
+#: Lists the files of a write in the order of their parts; readers of folders leave it out.
+MANIFEST = "_manifest.json"
 
 
 def _opened(path: str) -> tuple[fs.FileSystem, str]:
@@ -267,7 +270,13 @@ class _Reader(DataSourceReader):
 
 @dataclass
 class _Part(WriterCommitMessage):
+    """A task's file (None for no rows), its lines, and the first and last of them."""
+
     name: str | None
+    part: int
+    rows: int
+    first: str | None
+    last: str | None
 
 
 class _Writer(DataSourceArrowWriter):
@@ -284,7 +293,7 @@ class _Writer(DataSourceArrowWriter):
         name = f"part-{part:05d}-{uuid.uuid4().hex}.gz"
         system.create_dir(f"{path}/_unfinished", recursive=True)
         begun = b"" if self.header is None else self.header.encode() + b"\n"
-        held, size, lines = [begun], len(begun), 0
+        held, size, rows, first, value = [begun], len(begun), 0, None, None
         # pyarrow would compress what is written under this name once more
         with system.open_output_stream(f"{path}/_unfinished/{name}", compression=None) as file:
 
@@ -294,6 +303,7 @@ class _Writer(DataSourceArrowWriter):
 
             for batch in iterator:
                 for value in batch.column(0).to_pylist():
+                    first = value if not rows else first
                     line = (value or "").encode() + b"\n"
                     while size + len(line) > self.member_bytes:  # members end anywhere
                         room = max(self.member_bytes - size, 1)
@@ -301,16 +311,22 @@ class _Writer(DataSourceArrowWriter):
                         close()
                         held, size, line = [], 0, line[room:]
                     held.append(line)
-                    size, lines = size + len(line), lines + 1
+                    size, rows = size + len(line), rows + 1
             close()
-        return _Part(name if lines else None)
+        return _Part(name if rows else None, part, rows, first, value)
 
     def commit(self, messages: list[_Part | None]) -> None:
         system, path = _opened(self.path)
-        for message in messages:
-            if message and message.name:
-                system.move(f"{path}/_unfinished/{message.name}", f"{path}/{message.name}")
-        system.delete_dir(f"{path}/_unfinished")
+        found = sorted((m for m in messages if m and m.name), key=lambda m: m.part)
+        for message in found:
+            system.move(f"{path}/_unfinished/{message.name}", f"{path}/{message.name}")
+        if found:
+            system.delete_dir(f"{path}/_unfinished")
+        system.create_dir(path, recursive=True)
+        with system.open_output_stream(f"{path}/{MANIFEST}", compression=None) as file:
+            for m in found:
+                row = {"file": m.name, "rows": m.rows, "first": m.first, "last": m.last}
+                file.write(json.dumps(row).encode() + b"\n")
 
     def abort(self, messages: list[_Part | None]) -> None:
         system, path = _opened(self.path)
@@ -357,9 +373,20 @@ def write_lines(
     lines: DataFrame, path: str, header: str | None = None, member_bytes: int = MEMBER_BYTES
 ) -> None:
     """Write a text column as gzip files of several members, a file for each task that has
-    rows. NULL is an empty line."""
+    rows, and a manifest of them. NULL is an empty line."""
     lines.sparkSession.dataSource.register(GzipLines)
     writer = lines.write.format("gzip_lines").mode("append").option("member_bytes", member_bytes)
     if header is not None:
         writer = writer.option("header", header)
     writer.save(path)
+
+
+def manifest(spark: SparkSession, path: str) -> DataFrame:
+    """What ``write_lines`` wrote under a path: ``file``, its number in the order of the parts,
+    ``rows``, and the first and last line."""
+    system, name = _opened(path)
+    with system.open_input_file(f"{name.rstrip('/')}/{MANIFEST}") as file:
+        rows = [json.loads(line) for line in file.read().splitlines()]
+    listed = [(i, r["file"], r["rows"], r["first"], r["last"]) for i, r in enumerate(rows)]
+    kinds = "number int, file string, rows bigint, first string, last string"
+    return spark.createDataFrame(listed, kinds)

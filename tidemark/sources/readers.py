@@ -59,6 +59,8 @@ PHOTO_SCHEMA = (
     "place_id string, accuracy string"
 )
 PHOTO_TIME = "yyyy-MM-dd HH:mm:ss"
+#: Where a line stands: by these columns rows are in the order in which they arrive.
+ARRIVAL = ["arrival_file", "arrival_block", "arrival_place"]
 FOUR_FIELDS = r"\A[^,]*+,[^,]*+,[^,]*+,[^,]*+\z"
 
 
@@ -70,7 +72,8 @@ def video_lines(lines: DataFrame, line: str = "value") -> DataFrame:
 
 
 def parse_videos(
-    lines: DataFrame, line: str = "value", date_format: str = dates.DAY_MONTH_YEAR
+    lines: DataFrame, line: str = "value", date_format: str = dates.DAY_MONTH_YEAR,
+    further: Sequence[str] = (),
 ) -> DataFrame:
     """Typed videos from comma-separated lines; what does not fit its type is NULL."""
 
@@ -83,14 +86,29 @@ def parse_videos(
         return field.alias(name)
 
     return video_lines(lines, line).select(
-        *[typed(place, name) for place, name in enumerate(VIDEO_FIELDS)]
+        *[typed(place, name) for place, name in enumerate(VIDEO_FIELDS)], *further
     )
 
 
 def read_videos(
-    spark: SparkSession, path: str, date_format: str = dates.DAY_MONTH_YEAR
+    spark: SparkSession, path: str, date_format: str = dates.DAY_MONTH_YEAR, arrival: bool = False
 ) -> DataFrame:
-    return parse_videos(spark.read.text(path), "value", date_format)
+    """Videos of a file or folder; with ``arrival``, also where each line stands, in the columns
+    ``ARRIVAL``: by them rows are in the order of the files' names and of their lines."""
+    lines = spark.read.text(path)
+    if not arrival:
+        return parse_videos(lines, "value", date_format)
+    return parse_videos(with_arrival(lines), "value", date_format, ARRIVAL)
+
+
+def with_arrival(lines: DataFrame) -> DataFrame:
+    """Rows of a file scan with the path of their file, the block of it that a task read, and
+    their place among the rows of that task, which orders those of a block."""
+    place = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    where = F.col("_metadata.file_path"), F.col("_metadata.file_block_start"), place
+    return lines.select(
+        "*", *[column.alias(name) for name, column in zip(ARRIVAL, where, strict=True)]
+    )
 
 
 def read_reviews(
