@@ -4,6 +4,7 @@ import random
 import re
 
 import pytest
+import xxhash
 
 from tidemark.llm import queries, spotsigs
 
@@ -11,6 +12,10 @@ SCHEMA = "doc_id bigint, text string, place int, part string, tail int"
 COMMON = {w for line in spotsigs.ANCHORS for w in line.split()}
 
 
+def is_anchor(word):
+    return word in COMMON or xxhash.xxh3_64_intdigest(word) // 2 % spotsigs.SPACING == 0
+
+
 def chains(text):
     """Anchor and the next two content words; the beginning counts as an anchor."""
     words = re.findall(r"\w+", text.lower())
@@ -18,8 +23,8 @@ def chains(text):
         return set()
     out = set()
     for i in range(-1, len(words)):
-        if i < 0 or words[i] in COMMON:
-            rest = [w for w in words[i + 1 :] if w not in COMMON]
+        if i < 0 or is_anchor(words[i]):
+            rest = [w for w in words[i + 1 :] if not is_anchor(w)]
             out.add((words[i] if i >= 0 else None, *rest[: spotsigs.CHAIN]))
     return out
 
@@ -117,3 +122,28 @@ def test_similar_pairs_against_all_pairs(spark, percent):
     got = spotsigs.similar(spark.createDataFrame(rows, SCHEMA), percent).collect()
     assert len(got) == len(pairs) > 5
     assert {tuple(sorted((r.a_doc_id, r.b_doc_id))): r.similarity for r in got} == pairs
+
+
+def test_a_language_without_common_words(spark):
+    """Texts of words that are no anchors of the four languages have many signatures, and an
+    edit changes a part of them only."""
+    pick = random.Random(9)
+    words = ["".join(pick.choice("bdfgkmptz") + pick.choice("aou") for _ in range(3)) for _ in range(900)]
+    assert not set(words) & COMMON
+    texts = [" ".join(pick.choice(words) for _ in range(400)) for _ in range(20)]
+    rows = [(i, t, 0, "", 0) for i, t in enumerate(texts)]
+    found = spotsigs.compare_with_next(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert min(r.n_signatures for r in found) > 10
+    assert len({r.fingerprint for r in found}) == 20
+    assert all(0.2 < r.near_edited < 0.7 and r.near_next < 0.2 for r in found)
+
+
+def test_members_of_classes(spark):
+    rows = [(3, "the river", 0, "", 0), (1, "THE  river!", 0, "", 0), (2, "a stone", 0, "", 0),
+            (None, "a stone", 0, "", 0), (None, "nobody knows", 0, "", 0), (4, None, 0, "", 0),
+            (5, "...", 0, "", 0), (3, "the river", 0, "", 0)]
+    found = spotsigs.members(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert sorted(map(tuple, found), key=repr) == sorted(
+        [(3, 1), (3, 1), (1, 1), (2, 2), (None, 2), (None, None)], key=repr
+    )
+    assert spotsigs.members(spark.createDataFrame([], SCHEMA)).count() == 0

@@ -1,8 +1,9 @@
 """Document fingerprints by SpotSigs.
 
 Where a common word stands, the content words that follow it form a signature: the chain of
-the anchor and the next ``CHAIN`` words that are no anchors. The beginning of a text is an
-anchor too, so every text with a word has a signature. A fingerprint is the set of a text's
+the anchor and the next ``CHAIN`` words that are no anchors. So that texts in other languages
+than those of the common words have anchors too, one in ``SPACING`` of all other words is one,
+by its hash. The beginning of a text is an anchor, so every text with a word has a signature. A fingerprint is the set of a text's
 signatures, written as sorted 32-bit hashes in base64; texts without words have an empty one.
 """
 
@@ -31,6 +32,7 @@ ANCHORS = (
     "el los en un por las se",
 )
 CHAIN = 2
+SPACING = 16
 WORD = re.compile(r"\w+")
 SCHEMA = (
     "doc_id bigint, n_chars bigint, edited_sha256 string, fingerprint string, "
@@ -41,9 +43,12 @@ SCHEMA = (
 def word_codes(anchors: Iterable[str] = ANCHORS) -> fitting.Numbers:
     """Hashes of words; those of anchors are odd, all others even."""
     common = {word for line in anchors for word in line.split()}
-    return fitting.Numbers(
-        lambda word: xxhash.xxh3_64_intdigest(word) & ~1 | (word in common)
-    )
+
+    def code(word: str) -> int:
+        own = xxhash.xxh3_64_intdigest(word)
+        return own & ~1 | (word in common or (own >> 1) % SPACING == 0)
+
+    return fitting.Numbers(code)
 
 
 def signatures(text: str, codes: fitting.Numbers) -> np.ndarray:
@@ -180,9 +185,21 @@ def fingerprints(documents: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, "doc_id bigint, signatures array<bigint>")
 
 
+def members(documents: DataFrame) -> DataFrame:
+    """doc_id of every row whose text has a word, and ``class_doc_id``, the smallest doc_id with
+    an equal fingerprint: with ``similar``, what each row is like. A class without any id has
+    NULL."""
+    own = fingerprints(documents).filter(F.size("signatures") > 0)
+    # signatures are sorted and different, so their digest stands for the set
+    keyed = own.select("doc_id", F.md5(F.array_join("signatures", ",")).alias("print"))
+    least = keyed.groupBy("print").agg(F.min("doc_id").alias("class_doc_id"))
+    # both sides shuffle, so that the adaptive skew join can split a class of very many copies
+    return keyed.join(least.hint("shuffle_merge"), "print").select("doc_id", "class_doc_id")
+
+
 def similar(documents: DataFrame, percent: int = 75) -> DataFrame:
     """Pairs of different fingerprints whose Jaccard similarity reaches the threshold: the
-    smallest doc_id of each and the similarity.
+    smallest doc_id of each, which ``members`` gives for every row, and the similarity.
 
     Sets are partitioned by length so finely that a set's partners are in its own partition
     or the next. Within a partition they meet by their rarest signatures, as many as the
