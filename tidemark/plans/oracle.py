@@ -423,3 +423,4 @@ ORACLE["q58_ordered_files"] = f"""
            concat_ws(chr(9), video_id, growth, category, country) AS value,
            count(*) OVER () AS all_rows
     FROM ({GROWTH})"""
+ORACLE["q59_pruned_nearest"] = ORACLE["q41_label_nearest"]

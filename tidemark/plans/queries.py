@@ -21,6 +21,7 @@ from tidemark.operators import (
     folding,
     positions,
     profile,
+    pruned,
     ratings,
     selection,
     sentences,
@@ -605,3 +606,12 @@ def q58_ordered_files(spark, sf_dir):
     placed = positions.numbered(lines, ["path", "start", "number"])
     listed = gzip_members.manifest(spark, path).agg(F.sum("rows")).first()[0]
     return placed.select("position", "value", F.lit(listed).cast("bigint").alias("all_rows"))
+
+
+@query
+def q59_pruned_nearest(spark, sf_dir):
+    """q41 from a layout by pivots, of which the search reads a part."""
+    units = _label_units(spark, sf_dir)
+    layout = pruned.laid_out(units, "label", row_group=1 << 16)
+    centre = centres.centre_rows(centres.directed_units(units, "label", None), "label")
+    return pruned.nearest_to_centres(layout, centre)
