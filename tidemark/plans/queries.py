@@ -6,6 +6,7 @@ from collections.abc import Callable
 from functools import reduce
 from operator import and_
 
+from pyspark.ml.feature import Normalizer
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -251,14 +252,12 @@ def q24_word2vec_nearest(spark, sf_dir):
     the centre's mean distance is the least of its class, and the distance at each rank is
     that of all rows of the class, ranked anew."""
     vectors, near = _word2vec_nearest(spark, sf_dir)
-    length = F.sqrt(_dot("vector", "vector"))
-    directions = scratch.written(
-        vectors.withColumn("length", length).filter("length > 0").select(
-            "sentiment", "review_id", "pos",
-            F.transform("vector", lambda x: x / F.col("length")).alias("direction"),
-        ),
-        "word2vec-directions",
-    )
+    plain = vectors.filter(F.exists("vector", lambda x: x != 0))
+    plain = plain.withColumn("plain", array_to_vector("vector"))
+    normal = Normalizer(inputCol="plain", outputCol="normal").transform(plain)
+    direction = vector_to_array("normal").alias("direction")
+    directions = normal.select("sentiment", "review_id", "pos", direction)
+    directions = scratch.written(directions, "word2vec-directions")
     mean = vector_to_array(Summarizer.mean(array_to_vector("direction")))
     means = directions.groupBy("sentiment").agg(mean.alias("mean"))
     centre = near.select("sentiment", "centre_review_id", "centre_pos").distinct()
