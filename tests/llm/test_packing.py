@@ -143,3 +143,16 @@ def test_equal_ids_from_both_libraries(sf_dir):
     encoder, tokenizer = packing.Encoder(PATH), Tokenizer.from_file(PATH)
     for text in texts:
         assert encoder.ids(text) == tokenizer.encode(text, add_special_tokens=False).ids
+
+
+def test_very_long_white_space(spark):
+    """Runs that tiktoken's matcher cannot take, alone and inside a text."""
+    runs = [" " * 1_200_000, "a" + "\n" * 1_100_000 + "b", "x" + " \t\n" * 400_000, " " * 100_001 + "y"]
+    encoder, tokenizer = packing.Encoder(PATH), Tokenizer.from_file(PATH)
+    for text in runs:
+        assert encoder.ids(text) == tokenizer.encode(text, add_special_tokens=False).ids
+    rows = [(i, t) for i, t in enumerate(runs)]
+    pieces = packing.pack(spark.createDataFrame(rows, "doc_id bigint, text string"), PATH).collect()
+    for i, text in rows:
+        n = len(tokenizer.encode(text, add_special_tokens=False).ids) + 1
+        assert sum(p.length for p in pieces if p.doc_id == i) == n
