@@ -111,3 +111,9 @@ def test_files_may_be_read_twice(spark, tmp_path, name):
     path = written(tmp_path, ["1,2,3,4", "x"])
     first, second = (getattr(quarantine, name)(spark, path) for _ in range(2))
     assert first.counts == second.counts
+
+
+def test_lines_are_written_as_they_come(spark, tmp_path):
+    """Folders for good and bad lines would make each task sort all that it reads."""
+    found = quarantine.ratings(spark, written(tmp_path, ["1,2,3,4", "x"]))
+    assert found.bad.inputFiles() and not any("_bad=" in name for name in found.bad.inputFiles())

@@ -1,8 +1,9 @@
 """Good and bad lines of text files, told apart in one pass.
 
 A file is read once. Every line is parsed and checked; typed rows and refused lines are written
-together, in folders of their own, with what is wrong and where the line stands. An
-observation counts them on the way, so nothing is read again to say how many there are.
+to one table, in the order in which they come, with what is wrong and where the line stands. (Folders
+of their own would make each task sort its lines by folder.) An observation counts them on the
+way, so nothing is read again to say how many there are.
 """
 
 from __future__ import annotations
@@ -54,7 +55,7 @@ def _split(
     only_bad = [F.when(is_bad, F.col(name)).alias(name) for name in ("_line", *PLACE)]
     names = [name for name in watched.columns if not name.startswith("_")]
     table = scratch.written(
-        watched.select(*names, "_reason", *only_bad, is_bad.alias("_bad")), "checked-lines", ["_bad"]
+        watched.select(*names, "_reason", *only_bad, is_bad.alias("_bad")), "checked-lines"
     )
     counts = {
         name.removeprefix("bad "): n for name, n in observed.get.items()
