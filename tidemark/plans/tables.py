@@ -11,12 +11,26 @@ from tidemark.sources import readers
 
 PRODUCT = "en"
 VECTOR_SIZE = 64
+#: What a task writes to a file, about: bytes of text, or rows that it has to sort.
+FILE_BYTES = 64 << 20
+FILE_ROWS = 1_000_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def pieces(total: int, each: int, least: int) -> int:
+    """How many files a total needs."""
+    return max(least, -(-total // each))
+
+
+def text_bytes(spark: SparkSession, sf_dir: str) -> int:
+    """The bytes of all texts of the documents."""
+    length = F.octet_length("text").cast("bigint")
+    return table(spark, sf_dir, "documents").agg(F.sum(length)).first()[0] or 0
+
+
 def reviews(spark: SparkSession, sf_dir: str, customers: int, product: str) -> DataFrame:
     """Documents as reviews; the text length, folded, stands in for the customer."""
     return table(spark, sf_dir, "documents").select(
