@@ -589,7 +589,9 @@ def q56_bad_ratings(spark, sf_dir):
 def q57_growth_by_arrival(spark, sf_dir):
     """Growth between the first two lines of a key, as they stand in the files."""
     path = scratch.scratch_path(spark, "videos")
-    lines = t.table(spark, sf_dir, "lineitem").repartitionByRange(4, "l_orderkey", "l_linenumber")
+    lines = t.table(spark, sf_dir, "lineitem")
+    files = t.pieces(lines.count(), t.FILE_ROWS, 4)
+    lines = lines.repartitionByRange(files, "l_orderkey", "l_linenumber")
     lines = lines.sortWithinPartitions("l_orderkey", "l_linenumber")
     t.video_table(spark, sf_dir, lines).write.option("header", True).csv(path)
     videos = readers.read_videos(spark, path, arrival=True)
@@ -601,8 +603,10 @@ def q58_ordered_files(spark, sf_dir):
     """Growth in one order over several files, read back by their names and lines; with the
     number of rows that the manifest gives for all files."""
     path = scratch.scratch_path(spark, "growth")
-    growth = trending.growth(t.videos(spark, sf_dir))
-    sinks.write_ordered(growth, path, [F.desc("growth"), "video_id", "country"], 3)
+    videos = t.videos(spark, sf_dir)
+    files = t.pieces(videos.count(), t.FILE_ROWS, 3)
+    order = [F.desc("growth"), "video_id", "country"]
+    sinks.write_ordered(trending.growth(videos), path, order, files)
     lines = gzip_members.read_lines(spark, path)
     placed = positions.numbered(lines, ["path", "start", "number"])
     listed = gzip_members.manifest(spark, path).agg(F.sum("rows")).first()[0]
