@@ -204,3 +204,30 @@ def test_components(spark):
     assert all(of[i] == 100 for i in range(100, 161)) and of[500] == 400 == of[400]
     assert {of[v] for u, v in links if u == 7} == {7} and 1 not in of
     assert components(spark.createDataFrame([], "u bigint, v bigint")).count() == 0
+
+
+@pytest.mark.parametrize("most_bits", [jaccard_join.FILTER_BITS, 1 << 15])
+def test_sieve_keeps_all_that_is_wanted(spark, most_bits):
+    ids = list(range(-3000, 9000)) + [2**62, -(2**63), None, 7, 7]
+    rows = spark.createDataFrame([(i, "t") for i in ids], "doc_id bigint, text string")
+    wanted = [i for i in ids if i is not None and i % 40 == 7] + [-(2**63)]
+    few = spark.createDataFrame([(i,) for i in wanted], "doc_id bigint")
+    found = jaccard_join.maybe_in(rows, few, "doc_id", most_bits)
+    assert found.columns == rows.columns
+    got = [r.doc_id for r in found.collect()]
+    assert set(wanted) <= set(got) and got.count(7) == 3 and len(got) < len(ids) / 5
+    nothing = jaccard_join.maybe_in(rows, few.limit(0), "doc_id", most_bits)
+    assert nothing.count() == 0
+
+
+def test_texts_without_candidates_are_not_moved(spark, conf, tmp_path):
+    """Of texts that share nothing, none goes through the join that finds candidates again."""
+    conf("spark.sql.autoBroadcastJoinThreshold", "-1")
+    rows = [(i, " ".join(f"w{i}x{k}" for k in range(9)), None, 0, None) for i in range(600)]
+    rows += [(1000 + i, f"same words here as there again {i // 2} end", None, 0, None) for i in range(4)]
+    spark.createDataFrame(rows, SCHEMA).write.parquet(str(tmp_path / "d"))
+    documents = spark.read.parquet(str(tmp_path / "d"))
+    info = jaccard_join.counted(documents, 5, 1 << 20)
+    plan = jaccard_join.candidates(documents, info, 5, 75)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "getbit" in plan
+    assert jaccard_join.candidates(documents, info, 5, 75).count() == 2

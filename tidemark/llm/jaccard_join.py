@@ -30,7 +30,7 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -45,6 +45,8 @@ PERCENT = 75
 #: Documents that are joined in one task.
 LEAF = 4_096
 PIVOTS = 16
+#: Bits of the map that sorts out documents without candidates, at most (8 MB).
+FILTER_BITS = 1 << 26
 #: Odd constants of the shingle hash.
 FACTORS = np.array(
     [0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93,
@@ -139,6 +141,34 @@ def _sets(texts: DataFrame, size: int) -> DataFrame:
     return texts.mapInArrow(sets, "key string, n int, hashes array<bigint>")
 
 
+def maybe_in(rows: DataFrame, few: DataFrame, column: str, most_bits: int = FILTER_BITS) -> DataFrame:
+    """The rows whose value is among those of ``few``, a written table, and some others: a
+    sieve to go before the join that tells them apart.
+
+    One bit of a map stands for a value's hash; the map has sixteen bits or more for each value,
+    up to ``most_bits`` (beyond, more rows pass), and is sent to all tasks in pieces of 4 kB.
+    """
+    wanted = max(16 * few.count(), 1 << 15)
+    bits = min(1 << (wanted - 1).bit_length(), most_bits)
+
+    def place() -> Column:
+        return F.pmod(F.xxhash64(column), F.lit(bits)) + 1  # buckets and places count from 1
+
+    pieces = few.groupBy(F.bitmap_bucket_number(place()).alias("_piece")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(place())).alias("_map")
+    )
+    bit = F.bitmap_bit_position(place())
+    byte = F.substring("_map", (bit / 8).cast("int") + 1, F.lit(1))
+    is_set = F.getbit(F.conv(F.hex(byte), 16, 10).cast("int"), (bit % 8).cast("int")) == 1
+    piece = F.bitmap_bucket_number(place())
+    return (
+        rows.withColumn("_piece", piece)
+        .join(F.broadcast(pieces), "_piece")
+        .filter(is_set)
+        .select(*rows.columns)
+    )
+
+
 def candidates(documents: DataFrame, info: DataFrame, size: int, percent: int) -> DataFrame:
     """The shingle sets of documents that may be linked, one of each group of copies: node,
     key, n and the hashes. Nodes are numbered in the written table.
@@ -161,8 +191,10 @@ def candidates(documents: DataFrame, info: DataFrame, size: int, percent: int) -
     )
     own = chosen.join(several, chosen["doc_id"].eqNullSafe(several["doc_id"]), "left_anti")
     texts = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
+    own = scratch.written(own, "candidates")
+    # the others' texts are not moved to the join, but for the few that the filter lets through
     found = _sets(
-        texts.join(scratch.written(own, "candidates"), "doc_id").select("key", "text"), size
+        maybe_in(texts, own, "doc_id").join(own, "doc_id").select("key", "text"), size
     )
     if not several.isEmpty():
         vague = texts.join(several, texts["doc_id"].eqNullSafe(several["doc_id"]), "left_semi")
