@@ -231,3 +231,74 @@ def test_texts_without_candidates_are_not_moved(spark, conf, tmp_path):
     plan = jaccard_join.candidates(documents, info, 5, 75)._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan and "getbit" in plan
     assert jaccard_join.candidates(documents, info, 5, 75).count() == 2
+
+
+def set_rows(spark, sets):
+    rows = [(i, len(s), sorted(s)) for i, s in enumerate(sets)]
+    return spark.createDataFrame(rows, "node bigint, n int, hashes array<bigint>")
+
+
+def groups_of(n, links):
+    group = list(range(n))
+    for u, v in links:
+        group = [group[u] if g == group[v] else g for g in group]
+    names = {}
+    return [names.setdefault(g, len(names)) for g in group]
+
+
+def edited(pick, base, changes):
+    s = list(base)
+    for i in pick.sample(range(len(s)), changes):
+        s[i] = pick.randrange(1 << 40, 1 << 60)
+    return set(s)
+
+
+def test_near_copies_are_not_spread_over_all_pivots(spark):
+    """Pivots do not divide them: links and compared rows stay in proportion."""
+    pick = random.Random(1)
+    base = [pick.randrange(1 << 60) for _ in range(80)]
+    sets = [edited(pick, base, pick.randrange(1, 4)) for _ in range(300)]
+    found = jaccard_join.links(set_rows(spark, sets), 75, leaf=40, pivots=4).collect()
+    assert set(groups_of(300, found)) == {0}
+    assert len(found) < 3 * 300
+
+
+@pytest.mark.parametrize("kind, pivots, expected", [
+    ("far", 6, {"parts"}), ("two", 1, {"again", "blocks"}), ("apart", 3, {"blocks"}), ("chain", 4, {"blocks"}),
+])
+def test_every_way_to_divide_a_region(spark, monkeypatch, kind, pivots, expected):
+    pick = random.Random(2)
+
+    def base(n):
+        return [pick.randrange(1 << 60) for _ in range(n)]
+
+    common = base(40)
+    if kind == "far":  # groups with nothing in common
+        sets = [edited(pick, b, 1) for b in [base(30) for _ in range(4)] for _ in range(15)]
+    elif kind == "two":  # two groups at a distance that does not divide
+        sets = [edited(pick, common + b, 2) for b, n in ((base(20), 40), (base(20), 25)) for _ in range(n)]
+    elif kind == "apart":  # some linked, the others nearly
+        sets = [edited(pick, common, pick.choice([1, 9, 12])) for _ in range(60)]
+    else:
+        long = base(400)
+        sets = [set(long[i : i + 60]) for i in range(0, 300, 5)]
+    plain = [
+        (i, j) for i in range(len(sets)) for j in range(i)
+        if 100 * len(sets[i] & sets[j]) >= 75 * len(sets[i] | sets[j])
+    ]
+    frame, ways, written = set_rows(spark, sets), set(), jaccard_join.scratch.written
+
+    def seen(df, name, *args, **options):
+        table = written(df, name, *args, **options)
+        if name == "region-ways":
+            ways.update(r.way for r in table.select("way").collect())
+        return table
+
+    monkeypatch.setattr(jaccard_join.scratch, "written", seen)
+    monkeypatch.setattr(
+        jaccard_join, "regions", lambda rows, *_: rows.selectExpr("cast(0 as bigint) region", "node")
+    )
+    found = [tuple(r) for r in jaccard_join.links(frame, 75, leaf=20, pivots=pivots).collect()]
+    assert expected <= ways
+    assert all((max(link), min(link)) in set(plain) for link in found)
+    assert groups_of(len(sets), found) == groups_of(len(sets), plain)

@@ -14,10 +14,13 @@ distances to a pivot. But most documents share nothing with most others and lie
    A region whose documents are all in a larger one is left out.
 3. *Regions.* A region small enough is joined in one task: prefixes propose pairs, the
    distances to the pivot discard by the triangle inequality, and what is already connected
-   is not compared again. A larger one gets several pivots; each document goes to the nearest
-   (its Voronoi region) and to those not farther than the nearest plus r (the boundary), and
-   the parts are joined in the same way. For a linked pair, the part of the one that is nearer
-   to its pivot holds both. A part that does not shrink is joined in pairs of blocks.
+   is not compared again. A larger one gets several pivots; documents linked to a pivot are
+   connected by that and need no comparison with each other. Each document goes to the nearest
+   pivot (its Voronoi region) and to those not farther than the nearest plus r (the boundary),
+   and the parts are joined in the same way. For a linked pair, the part of the one that is
+   nearer to its pivot holds both. A region whose parts would compare more than half of its own
+   pairs stays whole: it gets further pivots as long as these connect much, and is joined in
+   pairs of blocks, without the pairs in which all is connected (near copies of one text).
 
 Copies (equal word sequences) are one document throughout.
 """
@@ -29,6 +32,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -298,11 +302,15 @@ class Region:
         self.marked[self.own(document)] = False
         return found
 
-    def links(self) -> list[tuple[int, int]]:
+    def links(self, tied: np.ndarray | None = None) -> list[tuple[int, int]]:
         """Links that connect what is connected in the region; further links between
-        documents that are connected already are not looked for."""
+        documents that are connected already are not looked for. Documents with the same
+        label in ``tied`` are connected from the start; -1 is no label."""
         m = len(self.n)
         group = np.arange(m)
+        if tied is not None:
+            _, first, label = np.unique(tied, return_index=True, return_inverse=True)
+            group = np.where(tied < 0, group, first[label])
         found = []
 
         def tie(a: int, b: int) -> None:
@@ -325,13 +333,19 @@ class Region:
         inside = np.arange(len(self.rank)) - np.repeat(self.starts, self.n) < np.repeat(prefix, self.n)
         order = np.argsort(self.rank[inside], kind="stable")
         posted, holders = self.rank[inside][order], self.owner[inside][order]
+        core = np.bincount(group).argmax()  # the members of this group look among the others only
+        outside = group[holders] != core
+        posted_outside, holders_outside = posted[outside], holders[outside]
+        within = group == core
         small = self.n - least_shared_by_smaller(self.n, self.percent) + 1
         for a in np.argsort(self.n, kind="stable"):
             if (group == group[a]).all():
                 break
             own = self.own(a)[: small[a]]
-            low, high = np.searchsorted(posted, own), np.searchsorted(posted, own, "right")
-            met = [holders[i:j] for i, j in zip(low, high, strict=True) if j - i > 1]
+            at, of = (posted_outside, holders_outside) if within[a] else (posted, holders)
+            low, high = np.searchsorted(at, own), np.searchsorted(at, own, "right")
+            itself = 0 if within[a] else 1
+            met = [of[i:j] for i, j in zip(low, high, strict=True) if j - i > itself]
             if not met:
                 continue
             others = np.unique(np.concatenate(met))
@@ -361,7 +375,8 @@ def _leaf(percent: int):
         arrays = _arrays(rows)
         order = at[np.argsort(nodes != rows.column("pivot")[0].as_py(), kind="stable")]
         nodes = rows.column("node").to_numpy()[order]
-        found = Region([arrays[i] for i in order], percent).links()
+        tied = pc.fill_null(rows.column("tied"), -1).to_numpy()[order]
+        found = Region([arrays[i] for i in order], percent).links(tied)
         return pa.table(
             {
                 "u": pa.array([int(nodes[a]) for a, _ in found], pa.int64()),
@@ -372,77 +387,151 @@ def _leaf(percent: int):
     return join
 
 
-MEMBERS = "region string, pivot bigint, node bigint, n int, hashes array<bigint>"
+#: Members of a region with equal ``tied`` are connected already by links that have been found.
+MEMBERS = ["region", "pivot", "node", "tied"]
 LINKS = "u bigint, v bigint"
+MEASURED = "region string, node bigint, tied bigint, parts array<bigint>, near array<bigint>"
 
 
-def _divided(large: DataFrame, pivots: int, leaf: int, percent: int) -> DataFrame:
-    """Members of regions that are too large, in the regions of new pivots. Each task takes
-    some of a region's members and all of its few pivots."""
+def _measured(large: DataFrame, own: DataFrame, pivots: int, leaf: int, percent: int) -> DataFrame:
+    """For members of regions that are too large, which get new pivots: the pivots in whose parts
+    a member is, and those it is linked to. Each task takes some of a region's members and all
+    of its few pivots."""
     radius = 1 - percent / 100 + 1e-9
-    sizes = large.groupBy("region").agg(F.count("*").alias("members"))
-    order = Window.partitionBy("region").orderBy(F.xxhash64("node", "region"), "node")
+    sizes = large.groupBy("region").agg(F.ceil(F.count("*") / leaf).cast("int").alias("salts"))
+    # what is connected to nothing yet comes first
+    order = Window.partitionBy("region").orderBy(
+        F.col("tied").isNotNull(), F.xxhash64("node", "region"), "node"
+    )
     chosen = (
-        large.select("region", "node")
-        .withColumn("place", F.row_number().over(order))
+        large.withColumn("place", F.row_number().over(order))
         .filter(F.col("place") <= pivots)
         .select("region", "node")
     )
-    salts = F.ceil(F.col("members") / leaf).cast("int")
-    sized = large.join(sizes, "region").withColumn("salts", salts)
     centres = (
-        sized.join(chosen, ["region", "node"])
+        chosen.join(sizes, "region")
         .withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)))
+        .join(own, "node")
         .select("region", "salt", "node", "n", "hashes")
         .toDF("region", "salt", "node", "n", "hashes")  # other columns than the members'
     )
-    spread = sized.withColumn("salt", F.pmod(F.xxhash64("node"), F.col("salts")).cast("int"))
-
-    def assign(members: pa.Table, centres: pa.Table) -> pa.Table:
-        if not members.num_rows:
-            return pa.table({"region": [], "pivot": [], "node": [], "n": [], "hashes": []})
-        sets, own = _arrays(centres), _arrays(members)
-        names = centres.column("node").to_pylist()
-        joint = Region(sets + own, percent)
-        rest = np.arange(len(sets), len(sets) + len(own))
-        shared = np.stack([joint.overlaps(i, rest) for i in range(len(sets))])
-        union = joint.n[: len(sets)][:, None] + joint.n[rest] - shared
-        distance = 1 - shared / union
-        near = distance <= distance.min(axis=0) + radius
-        centre, member = np.nonzero(near)
-        taken = members.take(pa.array(member))
-        old = members.column("region")[0].as_py()
-        return pa.table(
-            {
-                "region": pa.array([f"{old}/{names[c]}" for c in centre], pa.string()),
-                "pivot": pa.array([names[c] for c in centre], pa.int64()),
-                "node": taken.column("node"),
-                "n": taken.column("n"),
-                "hashes": taken.column("hashes"),
-            }
-        )
+    salt = F.pmod(F.xxhash64("node"), F.col("salts")).cast("int")
+    spread = large.join(sizes, "region").withColumn("salt", salt).join(own, "node")
+
+    def measure(members: pa.Table, centres: pa.Table) -> pa.Table:
+        names, sets = centres.column("node").to_numpy(), _arrays(centres)
+        order = np.argsort(names)
+        names, sets = names[order], [sets[i] for i in order]
+        found = {"parts": [], "near": []}
+        if members.num_rows:
+            joint = Region(sets + _arrays(members), percent)
+            rest = np.arange(len(sets), len(joint.n))
+            shared = np.stack([joint.overlaps(i, rest) for i in range(len(sets))])
+            union = joint.n[: len(sets)][:, None] + joint.n[rest] - shared
+            distance = 1 - shared / union
+            found["parts"] = [names[c] for c in (distance <= distance.min(axis=0) + radius).T]
+            found["near"] = [names[c] for c in (100 * shared >= percent * union).T]
+        lists = {name: pa.array(value, pa.list_(pa.int64())) for name, value in found.items()}
+        return pa.table({c: members.column(c) for c in ("region", "node", "tied")} | lists)
 
     return (
-        spread.select("region", "salt", "node", "n", "hashes")
+        spread.select("region", "salt", "node", "tied", "n", "hashes")
         .groupBy("region", "salt")
         .cogroup(centres.groupBy("region", "salt"))
-        .applyInArrow(assign, MEMBERS)
+        .applyInArrow(measure, MEASURED)
     )
 
 
-def _in_block_pairs(flat: DataFrame, leaf: int) -> DataFrame:
-    """Members of regions that pivots do not divide, so that any two meet in a pair of blocks."""
-    sizes = flat.groupBy("region").agg(F.ceil(2 * F.count("*") / leaf).cast("int").alias("blocks"))
-    block = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
-    paired = flat.join(sizes, "region").withColumn("block", block)
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    return paired.withColumn("other", other).select(
-        F.concat_ws(
-            "#", "region", F.least("block", "other").cast("string"),
-            F.greatest("block", "other").cast("string"),
-        ).alias("region"),
-        "pivot", "node", "n", "hashes",
+def _roots(pairs: pa.Table) -> pa.Table:
+    """For the labels of a region, of which some are connected: the least one of each group."""
+    root: dict[int, int] = {}
+
+    def find(label: int) -> int:
+        while root.setdefault(label, label) != label:
+            label = root[label]
+        return label
+
+    for a, b in zip(pairs.column("label").to_pylist(), pairs.column("other").to_pylist(), strict=True):
+        low, high = sorted((find(a), find(b)))
+        root[high] = low
+    region = pairs.column("region")[0].as_py()
+    return pa.table(
+        {
+            "region": pa.array([region] * len(root), pa.string()),
+            "label": pa.array(list(root), pa.int64()),
+            "root": pa.array([find(label) for label in root], pa.int64()),
+        }
+    )
+
+
+def _tied(measured: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The members with what is connected now, and links that connect it."""
+    labels = F.array_compact(F.concat("near", F.array("tied")))
+    first = measured.withColumn("labels", labels).withColumn("label", F.get("labels", F.lit(0)))
+    pairs = scratch.written(
+        first.select("region", "label", "node", F.explode("labels").alias("other"))
+        .groupBy("region", "label", "other")
+        .agg(F.min("node").alias("node")),
+        "region-labels",
+    )
+    root = pairs.groupBy("region").applyInArrow(_roots, "region string, label bigint, root bigint")
+    members = first.join(root, ["region", "label"], "left").select(
+        "region", "node", F.col("root").alias("tied"), "parts"
     )
+    # a link for each member, and one for each two pivots that members connect
+    first_near = measured.select("node", F.get("near", F.lit(0)).alias("v"))
+    every_near = measured.select("region", "node", F.explode("near").alias("other"))
+    of_pivots = every_near.join(pairs, ["region", "node", "other"]).select("node", "other")
+    every = first_near.union(of_pivots).filter("node != v").distinct()
+    return members, every.select(F.col("node").alias("u"), "v")
+
+
+def _sizes(members: DataFrame, *names: str) -> DataFrame:
+    """Per region or part how many members, the largest connected group, and ``rest``, how many
+    are outside of it."""
+    known = F.col("tied").isNotNull()
+    return (
+        members.groupBy(*names, "tied")
+        .agg(F.count("*").alias("n"))
+        .groupBy(*names)
+        .agg(F.sum("n").alias("members"), F.max(F.when(known, F.struct("n", "tied"))).alias("core"))
+        .select(
+            *names, "members", F.col("core.tied").alias("core"),
+            (F.col("members") - F.coalesce("core.n", F.lit(0))).alias("rest"),
+        )
+    )
+
+
+def _pairs_left() -> Column:
+    """Pairs of which not both are in the largest group, twice."""
+    members, core = F.col("members").cast("double"), (F.col("members") - F.col("rest")).cast("double")
+    return members * members - core * core
+
+
+def _in_block_pairs(flat: DataFrame, sizes: DataFrame, leaf: int) -> DataFrame:
+    """Members of regions that pivots do not divide, so that any two meet in a pair of blocks,
+    other than two of the largest connected group."""
+    rest, core = (
+        F.ceil(2 * n / leaf).cast("int") for n in (F.col("rest"), F.col("members") - F.col("rest"))
+    )
+    paired = flat.join(sizes.filter("rest > 0"), "region").withColumns({"rests": rest, "cores": core})
+    inside = F.coalesce(F.col("tied") == F.col("core"), F.lit(False))
+    place = F.xxhash64("node")
+    block = F.when(inside, F.col("rests") + F.pmod(place, F.col("cores"))).otherwise(
+        F.pmod(place, F.col("rests"))
+    )
+    last = F.when(inside, F.col("rests")).otherwise(F.col("rests") + F.col("cores")) - 1
+    return (
+        paired.withColumn("block", block.cast("int"))
+        .withColumn("other", F.explode(F.sequence(F.lit(0), last)))
+        .select(
+            F.concat_ws(
+                "#", "region", F.least("block", "other").cast("string"),
+                F.greatest("block", "other").cast("string"),
+            ).alias("region"),
+            F.col("node").alias("pivot"), "node", "tied",
+        )
+    )
 
 
 def links(
@@ -451,42 +540,65 @@ def links(
 ) -> DataFrame:
     """Links that connect all that is connected: u and v, nodes of the sets.
 
-    Regions are pairs of ids; the hashes join them where they are compared, except those of
-    regions that have to be divided first.
+    Regions are pairs of ids; the hashes join them where they are compared.
     """
     proposed = scratch.written(regions(sets, percent, block_bytes), "proposed-regions")
     pairs = scratch.written(without_parts(proposed), "regions")
-    own = sets.select("node", "n", "hashes")
-
-    def members(chosen: DataFrame) -> DataFrame:
-        return chosen.join(own, "node").select(
-            F.col("region").cast("string").alias("region"), F.col("region").alias("pivot"),
-            "node", "n", "hashes",
-        )
+    sizes = pairs.groupBy("region").agg(F.count("*").alias("members"))
+    over = scratch.written(sizes.filter(F.col("members") > leaf).select("region"), "large-regions")
+    named = pairs.select(
+        F.col("region").cast("string").alias("region"), F.col("region").alias("pivot"), "node",
+        F.lit(None).cast("bigint").alias("tied"),
+    )
 
-    def larger(rows: DataFrame) -> DataFrame:
-        sizes = rows.groupBy("region").agg(F.count("*").alias("members"))
-        return scratch.written(sizes.filter(F.col("members") > leaf), "large-regions")
+    def joined(members: DataFrame, own: DataFrame) -> DataFrame:
+        rows = members.join(own, "node").select(*MEMBERS, "hashes")
+        return rows.groupBy("region").applyInArrow(_leaf(percent), LINKS)
 
-    over = larger(pairs)
-    fits = pairs.join(over.select("region"), "region", "left_anti")
-    found = members(fits).groupBy("region").applyInArrow(_leaf(percent), LINKS)
+    own = sets.select("node", "n", "hashes")
+    found = joined(named.join(over, named["pivot"] == over["region"], "left_anti"), own)
     if over.isEmpty():
         return found
-    large, before = members(pairs.join(over.select("region"), "region", "left_semi")), None
-    while True:
-        large = scratch.written(_divided(large, pivots, leaf, percent), "divided-regions")
-        over = larger(large)
-        fits = large.join(over.select("region"), "region", "left_anti")
-        found = found.union(fits.groupBy("region").applyInArrow(_leaf(percent), LINKS))
-        most = over.agg(F.max("members")).first()[0]
-        if not most:
-            return found
-        large = large.join(over.select("region"), "region", "left_semi")
-        if before is not None and most > 0.8 * before:
-            paired = _in_block_pairs(large, leaf)
-            return found.union(paired.groupBy("region").applyInArrow(_leaf(percent), LINKS))
-        before = most
+    large = named.join(over, named["pivot"] == over["region"], "left_semi")
+    large = scratch.written(large, "large-members")
+    nodes = scratch.written(large.select("node").distinct(), "large-nodes")
+    own = scratch.written(maybe_in(own, nodes, "node").join(nodes, "node"), "large-shingles")
+    while not large.isEmpty():
+        before = _sizes(large, "region").select("region", F.col("rest").alias("before"))
+        measured = scratch.written(_measured(large, own, pivots, leaf, percent), "measured-regions")
+        members, near = _tied(measured)
+        members = scratch.written(members, "tied-regions")
+        inside = members.select("region", "node", "tied", F.explode("parts").alias("pivot"))
+        parts = scratch.written(_sizes(inside, "region", "pivot"), "region-parts")
+        left = parts.groupBy("region").agg(F.sum(_pairs_left()).alias("left"))
+        way = (
+            F.when(2 * F.col("left") <= _pairs_left(), "parts")
+            .when((F.col("rest") > leaf) & (F.col("rest") <= 0.8 * F.col("before")), "again")
+            .otherwise("blocks")
+        )
+        ways = _sizes(members, "region").join(left, "region").join(before, "region")
+        ways = scratch.written(ways.withColumn("way", way), "region-ways")
+
+        def going(rows: DataFrame, way: str, ways: DataFrame = ways) -> DataFrame:
+            return rows.join(ways.filter(F.col("way") == way).select("region"), "region", "left_semi")
+
+        divided = going(inside, "parts").join(
+            parts.filter("rest > 0").select("region", "pivot", F.col("members").alias("size")),
+            ["region", "pivot"],
+        )
+        divided = scratch.written(
+            divided.withColumn("region", F.concat_ws("/", "region", F.col("pivot").cast("string"))),
+            "divided-regions",
+        )
+        blocks = _in_block_pairs(
+            members, ways.filter("way = 'blocks'").select("region", "members", "core", "rest"), leaf
+        )
+        small = divided.filter(F.col("size") <= leaf).select(*MEMBERS)
+        found = found.union(near).union(joined(small, own)).union(joined(blocks, own))
+        again = going(members, "again").select("region", F.col("node").alias("pivot"), "node", "tied")
+        large = divided.filter(F.col("size") > leaf).select(*MEMBERS).union(again)
+        large = scratch.written(large, "large-members")
+    return found
 
 
 def _keyed_clusters(
