@@ -1,12 +1,16 @@
 import heapq
 import random
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from tidemark.operators import embed, skipgram
+from tidemark.plans import queries
+from tidemark.plans import tables as t
+from tidemark.sources import scratch
 
 SCHEMA = "sentiment string, review_id int, pos int, tokens array<string>"
 
@@ -101,3 +105,54 @@ def test_unknown_words_count_in_the_mean(table):
         own = tokens[r.review_id]
         mean = sum((known[w] for w in own if w in known), np.zeros(6)) / len(own)
         assert r.vector == pytest.approx(mean, abs=1e-6)
+
+
+def test_rows_are_made_in_rounds(table, monkeypatch):
+    """However few words are moved at a time; the model goes."""
+    vectors = embed.word2vec(table, ["a", "b"], 6, num_partitions=4)[0]
+    monkeypatch.setattr(embed, "MOVED_BYTES", 2000)
+    written = []
+    monkeypatch.setattr(
+        scratch, "written", lambda *a, f=scratch.written, **k: written.append(f(*a, **k)) or written[-1]
+    )
+    found = embed.word2vec_rows(table, ["a", "b"], lambda rows: rows, 6, num_partitions=4)
+    assert found.schema == vectors.schema and len(found.inputFiles()) > 8
+    assert sorted(map(str, found.collect())) == sorted(map(str, vectors.collect()))
+    made = [df for df in written if "word2vec-words" in str(df.inputFiles()[:1])]
+    with pytest.raises(Exception, match="exist|FAILED_READ_FILE"):
+        made[-1].count()
+
+
+def test_rows_of_no_sentences(spark):
+    nothing = spark.createDataFrame([], SCHEMA)
+    found = embed.word2vec_rows(nothing, ["a"], lambda rows: rows, 6)
+    assert found.columns == ["sentiment", "review_id", "pos", "vector"] and found.count() == 0
+
+
+def test_moved_words_do_not_stay_on_disk(spark):
+    disk = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def moved():
+        return {str(b) for b in disk.getAllBlocks().mkString(" ").split() if b.startswith("shuffle_")}
+
+    rows = spark.range(1000).repartition(7, "id")
+    before = moved()
+    with scratch.without_shuffles(spark):
+        table = scratch.written(rows, "moved")
+    assert not moved() - before and table.count() == 1000
+    assert spark.conf.get(scratch.SHUFFLE_CLEANUP, None) != "true"
+
+
+@pytest.mark.parametrize(
+    "name, most", [("q54_word2vec_neighbours", 1.0)]
+)
+def test_sentence_vectors_are_written_once(spark, sf_dir, name, most):
+    """Bytes of all tables that a query leaves, to those of the vectors of its sentences."""
+    folder = Path(scratch._run_folder(spark).removeprefix("file:"))
+
+    def left():
+        return sum(f.stat().st_size for f in folder.rglob("*.parquet") if f.is_file())
+
+    before, vectors = left(), t.tokenised(spark, sf_dir).count() * 512 * 8
+    assert queries.QUERIES[name](spark, sf_dir).count() == 20
+    assert left() - before < most * vectors
