@@ -144,7 +144,7 @@ def test_moved_words_do_not_stay_on_disk(spark):
 
 
 @pytest.mark.parametrize(
-    "name, most", [("q54_word2vec_neighbours", 1.0)]
+    "name, most", [("q54_word2vec_neighbours", 1.0), ("q24_word2vec_nearest", 2.0)]
 )
 def test_sentence_vectors_are_written_once(spark, sf_dir, name, most):
     """Bytes of all tables that a query leaves, to those of the vectors of its sentences."""
